@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tomewright.llm.common import table
 from tomewright.llm.quality_rules import apply_rules, fit_rules
+from tomewright.llm.simhash import hex_fingerprint, near_duplicates
 from tomewright.llm.url_filter import filter_urls
 
 #: The rules of the registered url query, as (host, path, verdict).
@@ -30,6 +31,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(docs, fit_rules(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", hex_fingerprint("fp").alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
