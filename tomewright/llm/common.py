@@ -41,7 +41,7 @@ def work_table(df: DataFrame, tag: str) -> DataFrame:
 
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of df's size; free, as it comes from file sizes."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def pieces(df: DataFrame, each: int, factor: int = 1) -> int:

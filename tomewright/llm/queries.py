@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tomewright.llm.common import table
 from tomewright.llm.quality_rules import apply_rules, fit_rules
+from tomewright.llm.repeats import cut_repeats, digest_of
 from tomewright.llm.simhash import hex_fingerprint, near_duplicates
 from tomewright.llm.url_filter import filter_urls
 
@@ -31,6 +32,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(docs, fit_rules(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_repeats(table(spark, sf_dir, "documents")).withColumn("kept_sha256", digest_of("kept")).drop("kept")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", hex_fingerprint("fp").alias("fingerprint"), "component_id")
