@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tomewright.llm.common import table
+from tomewright.llm.decontaminate import leaks
+from tomewright.llm.mixing import sampled
 from tomewright.llm.quality_rules import apply_rules, fit_rules
 from tomewright.llm.repeats import cut_repeats, digest_of
 from tomewright.llm.simhash import hex_fingerprint, near_duplicates
@@ -32,6 +34,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(docs, fit_rules(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sampled(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_repeats(table(spark, sf_dir, "documents")).withColumn("kept_sha256", digest_of("kept")).drop("kept")
 
@@ -41,6 +48,11 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("similarity", F.round("similarity", 9))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -66,5 +78,34 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 """
 
 
+#: By definition: all windows of an item's length around a shared shingle, compared as bags of shingles.
+OP9_SQL = r"""
+WITH texts AS (
+  SELECT 'd' AS kind, doc_id AS id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+  UNION ALL
+  SELECT 'b', item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark
+), words AS (
+  SELECT kind, id, [x FOR x IN regexp_split_to_array(t, '[\x20\x09-\x0D]+') IF x <> ''] AS w FROM texts
+), grams AS (
+  SELECT kind, id, len(w) - 4 AS n, unnest(range(0, len(w) - 4)) AS pos,
+         unnest([array_to_string(w[i:i+4], ' ') FOR i IN range(1, len(w) - 3)]) AS g
+  FROM words WHERE len(w) >= 5
+), items AS (
+  SELECT id AS item_id, n AS m, g, count(*) AS c FROM grams WHERE kind = 'b' GROUP BY ALL
+), hits AS (
+  SELECT d.id AS doc_id, d.n, d.pos, d.g, item_id, m, c, least(d.n, m) AS size FROM grams d JOIN items USING (g) WHERE kind = 'd'
+), starts AS (
+  SELECT DISTINCT doc_id, item_id, m, size, unnest(range(greatest(0, pos - size + 1), least(pos, n - size) + 1)) AS start FROM hits
+), shared AS (
+  SELECT s.doc_id, s.item_id, s.m, s.size, s.start, h.g, least(count(*), any_value(h.c)) AS k
+  FROM starts s JOIN hits h ON s.doc_id = h.doc_id AND s.item_id = h.item_id AND h.pos >= s.start AND h.pos < s.start + s.size
+  GROUP BY ALL
+), scored AS (
+  SELECT doc_id, item_id, start, sum(k) / (any_value(size) + any_value(m) - sum(k)) AS similarity FROM shared GROUP BY ALL
+)
+SELECT doc_id, item_id, round(max(similarity), 9) AS similarity FROM scored GROUP BY ALL HAVING max(similarity) >= 0.8
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1_SQL}
+    return {"op1_url_filter": OP1_SQL, "op9_benchmark_decontamination": OP9_SQL}
