@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tomewright.llm.common import table
+from tomewright.llm.cotrain import fit_quality, score_quality
 from tomewright.llm.decontaminate import leaks
+from tomewright.llm.langid import fit_languages, identify
 from tomewright.llm.mixing import sampled
+from tomewright.llm.pii import find_pii
 from tomewright.llm.quality_rules import apply_rules, fit_rules
 from tomewright.llm.repeats import cut_repeats, digest_of
 from tomewright.llm.simhash import hex_fingerprint, near_duplicates
+from tomewright.llm.toxicity import fit_toxicity, score_toxicity
 from tomewright.llm.url_filter import filter_urls
 
 #: The rules of the registered url query, as (host, path, verdict).
@@ -34,11 +38,25 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(docs, fit_rules(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sampled(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, fit_languages(docs))
+
+
 def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_repeats(table(spark, sf_dir, "documents")).withColumn("kept_sha256", digest_of("kept")).drop("kept")
 
@@ -53,6 +71,11 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.withColumn("similarity", F.round("similarity", 9))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
