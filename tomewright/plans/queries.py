@@ -365,7 +365,7 @@ def relevance_gate(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", decisions.relevance(F.col("p_type"), F.col("p_name"), "standard|large|red|blue", "economy").alias("reason"))
 
 
-@query("""WITH r AS (SELECT p_partkey, p_size, p_brand, regexp_matches(p_type, '(?i)standard|large') AS s, regexp_matches(p_name, '(?i)red|blue') AS t, p_type FROM part)
+@query("""WITH r AS (SELECT p_partkey, p_size, p_brand, regexp_matches(p_type, '(?i)standard|large|red|blue') AS s, regexp_matches(p_name, '(?i)standard|large|red|blue') AS t, p_type FROM part)
   SELECT p_partkey, CASE WHEN p_size < 5 THEN 'no_english_edition' WHEN p_size > 45 THEN 'missing_valid_isbn' WHEN (s OR t) AND NOT regexp_matches(p_type, '(?i)large|economy|promo') THEN 'category_subject_unconfirmed'
   WHEN s THEN 'matching_subject' WHEN t THEN 'title_only_unverified' ELSE 'no_subject_evidence' END AS reason FROM r""")
 def scope_decision(spark, sf_dir):
