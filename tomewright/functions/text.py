@@ -147,7 +147,7 @@ def joined_title(title: Column, subtitle: Column) -> Column:
 def scalar_or_list(scalar: Column, items: Column) -> Column:
     """A list of trimmed nonblank strings from either form."""
     both = F.coalesce(items, F.when(scalar.isNotNull(), F.array(scalar)), F.array().cast("array<string>"))
-    return F.filter(F.transform(both, F.trim), lambda x: F.length(x) > 0)
+    return F.filter(F.transform(both, lambda x: F.trim(x)), lambda x: F.length(x) > 0)
 
 
 def year_bucket(year: Column, bounds: tuple[int, ...]) -> Column:

@@ -44,12 +44,12 @@ def _keys(v: Column, path: str, inner: str | None = None) -> Column:
     """Keys of references, given as strings or as objects."""
     items = F.coalesce(F.try_variant_get(v, path, "array<variant>"), F.array().cast("array<variant>"))
     own = F.transform(items, lambda x: F.coalesce(*([F.try_variant_get(x, inner, "string")] if inner else []), F.try_variant_get(x, "$.key", "string"), F.try_variant_get(x, "$", "string")))
-    return F.array_distinct(F.filter(F.transform(own, F.trim), lambda x: F.length(x) > 0))
+    return F.array_distinct(F.filter(F.transform(own, lambda x: F.trim(x)), lambda x: F.length(x) > 0))
 
 
 def _texts(v: Column, path: str) -> Column:
     own = F.coalesce(F.try_variant_get(v, path, "array<string>"), F.array().cast("array<string>"))
-    return F.array_distinct(F.filter(F.transform(own, F.trim), lambda x: F.length(x) > 0))
+    return F.array_distinct(F.filter(F.transform(own, lambda x: F.trim(x)), lambda x: F.length(x) > 0))
 
 
 def outline(v: Column) -> Column:
