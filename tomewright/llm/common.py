@@ -45,9 +45,12 @@ def plan_bytes(df: DataFrame) -> int:
 
 
 def pieces(df: DataFrame, each: int, factor: int = 1) -> int:
-    """How many groups to deal df into so that each has about `each` bytes, and factor x spark.sql.shuffle.partitions at least."""
+    """How many groups to deal df into so that each has about `each` bytes of text, and factor x spark.sql.shuffle.partitions at least.
+
+    The text is measured, not estimated: a plan over memory or joins has no usable estimate.
+    """
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * factor
-    return max(least, min(plan_bytes(df), 1 << 60) // each + 1)
+    return max(least, (df.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // each + 1)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -6,9 +6,9 @@ fingerprints form groups.
 
 Equal fingerprints are first brought to one row. The 64 bits are cut into radius + 2 blocks; two fingerprints within
 the radius agree in at least two of them, so that every pair of blocks gives a key under which all linked pairs
-meet. A key with too many fingerprints is cut again: the bits outside it are cut into radius + 1 blocks, one of
-which agrees. So groups become small without losing a link, and no row is ever compared with all others. In a
-group, bit planes are stored vertically: one word holds a bit of 64 fingerprints, and carry-save counters add up 64
+meet. Fingerprints under a key that has too many are keyed anew, by all but `radius` of 8 blocks, then of 16: finer
+keys under which their linked pairs meet as well, and of the last at most 2^(4 radius) fingerprints share one. So groups
+become small without losing a link, and no row is ever compared with all others. In a group, bit planes are stored vertically: one word holds a bit of 64 fingerprints, and carry-save counters add up 64
 distances at a time; a block of lanes is abandoned once all its distances exceed the radius. A group gives a
 spanning star for each component in it, not its pairs.
 
@@ -32,7 +32,7 @@ from tomewright.llm.common import work_table
 from tomewright.llm.graph import connected_components
 
 SEED = 42
-#: Fingerprints under one key above which the key is cut again.
+#: Fingerprints under one key above which they are keyed anew.
 GROUP_ROWS = 4096
 #: Rows that are compared in one go; a group is never divided.
 CHUNK_ROWS = 1 << 16
@@ -90,10 +90,15 @@ def with_fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
     return own.mapInArrow(run, f"doc_id {kind}, fp long")
 
 
-def _cut(bits: int, parts: int) -> list[int]:
-    """The set bits of a mask dealt into `parts` masks of adjacent bits."""
-    each = [i for i in range(64) if bits >> i & 1]
-    return [sum(1 << i for i in each[k * len(each) // parts : (k + 1) * len(each) // parts]) for k in range(parts)]
+def key_masks(level: int, radius: int) -> list[int]:
+    """Masks of which one at least covers only bits in which two fingerprints within the radius agree.
+
+    Level 0: two of radius + 2 blocks; 1: all but `radius` of 8 blocks; 2: all but `radius` of 16 blocks.
+    """
+    parts = (radius + 2, 8, 16)[level]
+    keep = (2, parts - radius, parts - radius)[level]
+    blocks = [sum(1 << i for i in range(64 * k // parts, 64 * (k + 1) // parts)) for k in range(parts)]
+    return [sum(c) for c in combinations(blocks, keep)]
 
 
 def _signed(x: int) -> int:
@@ -183,24 +188,19 @@ def _stars(radius: int):
 
 def near_edges(nodes: DataFrame, radius: int = 3) -> DataFrame:
     """Star edges (a, b) between the nodes (node, fp; fp distinct) whose fingerprints are within the radius, by group."""
-    everything = (1 << 64) - 1
-    masks = [a | b for a, b in combinations(_cut(everything, radius + 2), 2)]
     rows, out = nodes.select("node", "fp"), None
-    rows = rows.withColumn("mask", F.explode(F.array(*[F.lit(_signed(m)) for m in masks])))
-    while True:
-        keyed = rows.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp", "node")
-        hot = work_table(keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where(F.col("n") > GROUP_ROWS).select("mask", "key"), "hot")
-        more = [m for m in masks if bin(m ^ everything).count("1") >= 2 * (radius + 1)]
-        some = bool(more) and not hot.isEmpty()
-        cold = keyed.join(hot.where(F.col("mask").isin([_signed(m) for m in more])), ["mask", "key"], "left_anti") if some else keyed
+    for level in range(3):
+        masks = F.array(*[F.lit(_signed(m)) for m in key_masks(level, radius)])
+        keyed = rows.withColumn("mask", F.explode(masks)).select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp", "node")
+        hot = work_table(keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where(F.col("n") > GROUP_ROWS).select("mask", "key"), "hot") if level < 2 else None
+        last = hot is None or hot.isEmpty()
+        cold = keyed if last else keyed.join(hot, ["mask", "key"], "left_anti")
         edges = cold.repartition("mask", "key").sortWithinPartitions("mask", "key", "fp").mapInArrow(_stars(radius), "a long, b long")
         out = edges if out is None else out.union(edges)
-        if not some:
-            return out
-        finer = {m: [m | x for x in _cut(m ^ everything, radius + 1)] for m in more}
-        pick = F.coalesce(*[F.when(F.col("mask") == _signed(m), F.array(*[F.lit(_signed(x)) for x in v])) for m, v in finer.items()])
-        rows = keyed.join(hot, ["mask", "key"], "left_semi").where(F.col("mask").isin([_signed(m) for m in more])).select("node", "fp", F.explode(pick).alias("mask"))
-        masks = sorted({x for v in finer.values() for x in v})
+        if last:
+            break
+        rows = work_table(keyed.join(hot, ["mask", "key"], "left_semi").select("node", "fp").distinct(), "hot-rows")
+    return out
 
 
 def near_duplicates(documents: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
