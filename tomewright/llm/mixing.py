@@ -55,7 +55,7 @@ def sampled(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: in
     """keep, size, source_size, target, copies of every row."""
     own = [F.col(c).alias(f"keep_{k}") for k, c in enumerate(keep)]
     sized = documents.select(F.struct(*own).alias("kept"), "source", word_count(F.col("text")).alias("size"), F.xxhash64("doc_id", "text").alias("h"))
-    sized = work_table(sized.withColumn("bin", F.floor(F.log2(F.col("size") + 1) * 16)), "sized")
+    sized = work_table(sized.withColumn("bin", F.floor(F.log2(F.col("size") + 1) * 64)), "sized")
     totals = work_table(sized.groupBy("source", "bin").agg(F.count("*").alias("n"), F.sum("size").alias("words")), "totals")
     rates = source_targets(totals.groupBy("source").agg(F.sum("words").alias("source_size")), weights, most)
     # each bin is dealt into as many hash buckets as it has BUCKET_ROWS
