@@ -21,7 +21,8 @@ class DatasetError(ValueError):
 
 
 def check(data: Dataset, most: int = 20) -> Dataset:
-    """data itself, or an error that names the first faults."""
+    """The dataset, persisted, or an error that names the first faults."""
+    data = data.persisted()
     faults = validation.validate_dataset(data.books, data.documents, data.toc, data.sources).limit(most).collect()
     if faults:
         raise DatasetError("; ".join(f"{f.kind} {f.id} {f.detail or ''}".strip() for f in faults))

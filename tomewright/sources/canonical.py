@@ -26,6 +26,10 @@ class Dataset:
     def tables(self) -> dict[str, DataFrame]:
         return {n: getattr(self, n) for n in TABLES}
 
+    def persisted(self) -> "Dataset":
+        """The same tables, kept after their first use, for plans that read them many times."""
+        return Dataset(**{n: df.persist() for n, df in self.tables().items()})
+
     def union(self, other: "Dataset") -> "Dataset":
         return Dataset(**{n: df.unionByName(getattr(other, n)) for n, df in self.tables().items()})
 
