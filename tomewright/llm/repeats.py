@@ -7,7 +7,7 @@ smaller id, or in the same document further left. The documents are dealt into b
    Equal windows have equal anchors at equal offsets. The windows of one anchor form a segment. Each block sends the
    distinct hashes of its anchors to their buckets, which tell each block the hashes that are found twice or more.
 2. Segments. A block sends the segments of those hashes, equal ones once, the earliest of them, to the buckets. A
-   hash of very many blocks (a passage that is frequent everywhere) is sent as single windows keyed by all their
+   hash of very many segments (a line that is frequent everywhere) is sent as single windows keyed by all their
    bytes, so that it falls apart over the buckets.
 3. Suffix arrays. A bucket sorts the suffixes of the segments under a hash, computes common prefix lengths, and
    scans them with a stack: the nodes of the common-prefix interval tree of `length` or more whose occurrences
@@ -34,11 +34,11 @@ from tomewright.llm.common import pieces, utf8
 
 LENGTH, GRAM = 100, 50
 #: Windows that are hashed in one go.
-CHUNK = 1 << 19
-#: Blocks with one hash beyond which its windows are sent one by one.
-HOT_BLOCKS = 64
+CHUNK = 1 << 17
+#: Segments with one hash beyond which its windows are sent one by one.
+HOT = 20_000
 #: Suffixes in one suffix array at most, if a hash has no more.
-SUFFIXES = 100_000
+SUFFIXES = 50_000
 NONE = np.zeros(0, np.int64)
 U = np.uint64
 
@@ -81,8 +81,8 @@ def _least(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(keys[: len(keys) - (width - have)], keys[width - have :]) if have < width else keys
 
 
-def segments(offsets: np.ndarray, data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, start in the document, windows, hash) of every segment of these documents."""
+def segments(offsets: np.ndarray, data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """(row, start in the document, windows, hash, anchor's offset) of every segment of these documents."""
     sizes = np.diff(offsets)
     out = []
     for at in range(0, max(0, len(data) - length + 1), CHUNK):
@@ -109,8 +109,8 @@ def segments(offsets: np.ndarray, data: np.ndarray, length: int = LENGTH, gram:
         starts = np.flatnonzero(new & valid)
         row = rows[np.searchsorted(first, starts, "right") - 1]
         stop = np.minimum(np.append(starts[1:], end - at), last[np.searchsorted(first, starts, "right") - 1])
-        out.append((row, starts + at - offsets[row], stop - starts, h[anchor[starts]]))
-    return tuple(np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.uint64 if k == 3 else np.int64) for k in range(4))
+        out.append((row, starts + at - offsets[row], stop - starts, h[anchor[starts]], anchor[starts] - starts))
+    return tuple(np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.uint64 if k == 3 else np.int64) for k in range(5))
 
 
 # --- the enhanced suffix array -------------------------------------------------------------------------------------
@@ -122,6 +122,8 @@ def interval_tree(texts: list[bytes], length: int, starts: list[np.ndarray] | No
     starts: for each text the suffixes that may count; all, if None. A repeat is given with all its occurrences; one
     whose occurrences all follow the same byte isn't maximal and is left out. A text's begin differs from any byte.
     """
+    if not texts:
+        return
     lens = np.array([len(t) for t in texts])
     own = [np.arange(max(0, n - length + 1)) if starts is None else np.asarray(s) for n, s in zip(lens, starts or lens, strict=True)]
     text = np.repeat(np.arange(len(texts)), [len(o) for o in own])
@@ -197,11 +199,11 @@ def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * len(schema), schema.types, strict=True)], schema=schema)
 
 
-HASHES = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("hashes", pa.binary()), ("twice", pa.binary())])
+HASHES = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
 FOUND = pa.schema([("block", pa.int64()), ("hashes", pa.binary()), ("hot", pa.binary())])
 SENT = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("hashes", pa.binary()), ("places", pa.binary()), ("bytes", pa.binary())])
 RANGES = pa.schema([("block", pa.int64()), ("ranges", pa.binary())])
-PLACE = np.dtype([("doc", "<i8"), ("row", "<i4"), ("start", "<i4"), ("size", "<i4")])
+PLACE = np.dtype([("doc", "<i8"), ("row", "<i4"), ("start", "<i4"), ("size", "<i4"), ("anchor", "<i4")])
 RANGE = np.dtype([("row", "<i4"), ("start", "<i4"), ("size", "<i4")])
 
 
@@ -211,7 +213,7 @@ def _send_hashes(length: int, gram: int, buckets: int):
         h, count = np.unique(segments(offsets, data, length, gram)[3], return_counts=True)
         cut = np.searchsorted(_bucket_of(h, buckets), np.arange(buckets + 1, dtype=np.uint64))
         name = block.column("block")[0].as_py()
-        return _rows(HASHES, [(b, name, h[s:e].tobytes(), (count[s:e] > 1).tobytes()) for b, (s, e) in enumerate(zip(cut, cut[1:], strict=False)) if e > s])
+        return _rows(HASHES, [(b, name, h[s:e].tobytes(), np.minimum(count[s:e], 255).astype(np.uint8).tobytes()) for b, (s, e) in enumerate(zip(cut, cut[1:], strict=False)) if e > s])
 
     return run
 
@@ -219,13 +221,11 @@ def _send_hashes(length: int, gram: int, buckets: int):
 def _find_twice(rows: pa.Table) -> pa.Table:
     blocks = rows.column("block").to_numpy()
     each = [np.frombuffer(x.as_py(), np.uint64) for x in rows.column("hashes")]
-    flags = np.concatenate([np.frombuffer(x.as_py(), bool) for x in rows.column("twice")])
+    counts = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in rows.column("counts")])
     h, owner = np.concatenate(each), np.repeat(np.arange(len(each)), [len(x) for x in each])
-    _, back, count = np.unique(h, return_inverse=True, return_counts=True)
-    some = np.zeros(len(count), bool)
-    some[back[flags]] = True
-    keep = (count[back] > 1) | some[back]
-    hot = count[back] > HOT_BLOCKS
+    _, back = np.unique(h, return_inverse=True)
+    total = np.bincount(back, counts)[back]
+    keep, hot = total > 1, total > HOT
     cuts = np.searchsorted(owner, np.arange(len(each) + 1))
     out = []
     for k, (s, e) in enumerate(zip(cuts, cuts[1:], strict=False)):
@@ -246,12 +246,12 @@ def _first_of_equals(data: np.ndarray, at: np.ndarray, size: np.ndarray, key: np
 
 
 def _local(offsets: np.ndarray, data: np.ndarray, length: int, gram: int, hashes: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Row, start, bytes and hash of the segments with these hashes, and whether each is the first of its equals."""
-    row, start, windows, h = segments(offsets, data, length, gram)
+    """Row, start, bytes, hash and anchor of the segments with these hashes, and whether each is the first of its equals."""
+    row, start, windows, h, anchor = segments(offsets, data, length, gram)
     at = np.searchsorted(hashes, h)
     keep = np.flatnonzero((at < len(hashes)) & (hashes[np.minimum(at, len(hashes) - 1)] == h)) if len(hashes) else NONE
     row, start, size, h = row[keep], start[keep], windows[keep] + length - 1, h[keep]
-    return row, start, size, h, _first_of_equals(data, offsets[row] + start, size, h)
+    return row, start, size, h, anchor[keep], _first_of_equals(data, offsets[row] + start, size, h)
 
 
 def _send_segments(length: int, gram: int, buckets: int):
@@ -263,8 +263,8 @@ def _send_segments(length: int, gram: int, buckets: int):
         hot = np.concatenate([np.frombuffer(x.as_py(), bool) for x in found.column("hot")])
         order = np.argsort(hashes, kind="stable")
         hashes, hot = hashes[order], hot[order]
-        row, start, size, h, first = _local(offsets, data, length, gram, hashes)
-        row, start, size, h = (x[first] for x in (row, start, size, h))
+        row, start, size, h, anchor, first = _local(offsets, data, length, gram, hashes)
+        row, start, size, h, anchor = (x[first] for x in (row, start, size, h, anchor))
         many = hot[np.searchsorted(hashes, h)]
         if many.any():  # one by one, keyed by all their bytes
             n = size[many] - length + 1
@@ -276,11 +276,13 @@ def _send_segments(length: int, gram: int, buckets: int):
                 if len(inside):
                     key[inside] = gram_hashes(data[lo : lo + CHUNK + length - 1], length)[where[inside] - lo]
             once = _first_of_equals(data, where, np.full(len(r), length), key)
-            row, start, size, h = (np.concatenate(x) for x in ((row[~many], r[once]), (start[~many], s[once]), (size[~many], np.full(once.sum(), length)), (h[~many], key[once])))
+            alone = np.zeros(once.sum(), np.int64)
+            row, start, size, h, anchor = (np.concatenate(x) for x in ((row[~many], r[once]), (start[~many], s[once]), (size[~many], alone + length), (h[~many], key[once]), (anchor[~many], alone)))
         order = np.argsort(h, kind="stable")
-        row, start, size, h = (x[order] for x in (row, start, size, h))
+        row, start, size, h, anchor = (x[order] for x in (row, start, size, h, anchor))
         place = np.zeros(len(row), PLACE)
-        place["doc"], place["row"], place["start"], place["size"] = ids[row], row, start, size
+        for name, x in (("doc", ids[row]), ("row", row), ("start", start), ("size", size), ("anchor", anchor)):
+            place[name] = x
         raw, where = data.tobytes(), (offsets[row] + start).tolist()
         cut = np.searchsorted(_bucket_of(h, buckets), np.arange(buckets + 1, dtype=np.uint64))
         name = block.column("block")[0].as_py()
@@ -290,7 +292,7 @@ def _send_segments(length: int, gram: int, buckets: int):
     return run
 
 
-def _find_ranges(length: int):
+def _find_ranges(length: int, gram: int):
     def run(rows: pa.Table) -> pa.Table:
         blocks = rows.column("block").to_numpy()
         h = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in rows.column("hashes")])
@@ -300,17 +302,36 @@ def _find_ranges(length: int):
         begin = np.cumsum(place["size"]) - place["size"]
         order = np.lexsort((place["start"], place["row"], place["doc"], h))  # under each hash the earliest first
         ends = np.append(np.flatnonzero(np.diff(h[order])) + 1, len(h))
-        gone: list[tuple[int, int, int]] = []  # (segment, start in it, bytes)
-        pool: list[list[int]] = []
+        gone: dict[int, list[list[int]]] = {}  # segment to ranges in it
+        pool: list[int] = []
         waiting = 0
 
-        def sort_pool() -> None:
-            flat = [i for group in pool for i in group]
+        def sort_group(flat: list[int], only: int | None = None) -> None:
+            """only: the suffixes whose anchor stands at that offset; no others share `length` bytes with them."""
             texts = [raw[begin[i] : begin[i] + place["size"][i]] for i in flat]
-            for size, where in interval_tree(texts, length):
-                key = lambda w: (place["doc"][flat[w[0]]], place["row"][flat[w[0]]], place["start"][flat[w[0]]] + w[1])
-                least = min(map(key, where))
-                gone.extend((flat[t], s, size) for t, s in where if key((t, s)) != least)
+            starts = None
+            if only is not None:
+                first = place["anchor"][flat] - only
+                ok = (first >= 0) & (first <= place["size"][flat] - length)
+                starts = [f[o] for f, o in zip(first[:, None], ok[:, None], strict=True)]
+            own = list(zip(*(place[x][flat].tolist() for x in ("doc", "row", "start")), strict=True))
+            longest: dict[tuple[int, int], int] = {}
+            for size, where in interval_tree(texts, length, starts):
+                keys = [(own[t][0], own[t][1], own[t][2] + s) for t, s in where]
+                least = keys.index(min(keys))
+                for k, w in enumerate(where):
+                    if k != least and longest.get(w, 0) < size:  # of nested repeats at a place the longest says all
+                        longest[w] = size
+            for (t, s), size in sorted(longest.items()):
+                note(flat[t], s, s + size)
+
+        def note(i: int, start: int, end: int) -> None:
+            """Ranges of a segment are joined as they come, so that few are held."""
+            last = gone.setdefault(i, [[start, end]])[-1]
+            if start <= last[1] and end >= last[0]:
+                last[0], last[1] = min(start, last[0]), max(end, last[1])
+            else:
+                gone[i].append([start, end])
 
         at = 0
         for end in ends.tolist():
@@ -321,18 +342,21 @@ def _find_ranges(length: int):
             for i in group:
                 text = raw[begin[i] : begin[i] + place["size"][i]]
                 if text in seen:  # an interval of equal strings; the earliest stands first
-                    gone.append((i, 0, len(text)))
+                    note(i, 0, len(text))
                 else:
                     seen[text] = i
-            if len(seen) > 1:
-                pool.append(list(seen.values()))
-                waiting += sum(len(t) - length + 1 for t in seen)
-                if waiting >= SUFFIXES:
-                    sort_pool()
+            suffixes = sum(len(t) - length + 1 for t in seen)
+            if len(seen) > 1 and suffixes >= SUFFIXES:
+                for only in range(length - gram + 1):
+                    sort_group(list(seen.values()), only)
+            elif len(seen) > 1:
+                if waiting + suffixes > SUFFIXES:
+                    sort_group(pool)
                     pool, waiting = [], 0
-        if pool:
-            sort_pool()
-        cut = np.array(gone, np.int64).reshape(-1, 3)
+                pool += seen.values()
+                waiting += suffixes
+        sort_group(pool)
+        cut = np.array([(i, s, e - s) for i, ranges in gone.items() for s, e in ranges], np.int64).reshape(-1, 3)
         out = np.zeros(len(cut), RANGE)
         if len(cut):
             out["row"], out["start"], out["size"] = place["row"][cut[:, 0]], place["start"][cut[:, 0]] + cut[:, 1], cut[:, 2]
@@ -347,7 +371,7 @@ def _cut(length: int, gram: int):
         ids, offsets, data, names = _ordered(block)
         cover = np.zeros(len(data) + 1, np.int32)
         h, count = np.unique(segments(offsets, data, length, gram)[3], return_counts=True)
-        row, start, size, _, first = _local(offsets, data, length, gram, h[count > 1])
+        row, start, size, _, _, first = _local(offsets, data, length, gram, h[count > 1])
         ranges = [np.frombuffer(x.as_py(), RANGE) for x in found.column("ranges")]
         row, start, size = row[~first], start[~first], size[~first]
         if ranges:
@@ -377,17 +401,18 @@ def _ddl(schema: pa.Schema) -> str:
     return ", ".join(f"{f.name} {'binary' if pa.types.is_binary(f.type) else 'long'}" for f in schema)
 
 
-def cut_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, block_bytes: int = 4 << 20) -> DataFrame:
+def cut_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, block_bytes: int = 2 << 20) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) of every row; kept: the remaining bytes."""
     if not 1 <= gram <= length:
         raise ValueError("a gram must fit into the length")
-    blocks, buckets = pieces(documents, block_bytes, 2), pieces(documents, 4 * block_bytes)
+    blocks = pieces(documents, block_bytes, 2)
+    buckets = blocks // 2 + 1
     kind = documents.schema["doc_id"].dataType.simpleString()
     docs = documents.select(F.expr(f"pmod(xxhash64(doc_id), {blocks}L)").alias("block"), "doc_id", "text")
     hashes = docs.groupBy("block").applyInArrow(_send_hashes(length, gram, buckets), _ddl(HASHES))
     twice = hashes.groupBy("bucket").applyInArrow(_find_twice, _ddl(FOUND))
     sent = docs.groupBy("block").cogroup(twice.groupBy("block")).applyInArrow(_send_segments(length, gram, buckets), _ddl(SENT))
-    ranges = sent.groupBy("bucket").applyInArrow(_find_ranges(length), _ddl(RANGES))
+    ranges = sent.groupBy("bucket").applyInArrow(_find_ranges(length, gram), _ddl(RANGES))
     return docs.groupBy("block").cogroup(ranges.groupBy("block")).applyInArrow(_cut(length, gram), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
