@@ -66,12 +66,12 @@ def translate(pieces: DataFrame, cache: DataFrame, translator: Callable[[list[st
         def run(group: pd.DataFrame) -> pd.DataFrame:
             group = group.sort_values("at")
             try:
-                answer = translator(group.piece.tolist())
+                answer = translator(group["piece"].tolist())
             except Exception:  # noqa: BLE001 - one failed request must not end the others; it is retried in the next run
                 answer = []
             if len(answer) != len(group):
-                return pd.DataFrame({"request_hash": [], "at": [], "en": []})
-            return pd.DataFrame({"request_hash": group.request_hash, "at": group["at"], "en": answer})
+                return pd.DataFrame({c: pd.Series([], dtype=object) for c in ("request_hash", "at", "en")})
+            return pd.DataFrame({"request_hash": group.request_hash.tolist(), "at": group["at"].tolist(), "en": list(answer)}, dtype=object)
 
         rows = rows.unionByName(fresh.groupBy("request_hash").applyInPandas(run, "request_hash string, at string, en string"))
     bad = rows.where((F.length(F.trim("en")) == 0) | F.col("en").isNull() | F.col("en").rlike(SCRIPTS)).select("request_hash").distinct()
