@@ -24,7 +24,7 @@ from tomewright.llm.common import work_table
 
 WEIGHTS, MOST, SEED = (5.0, 2.0, 1.0), 3, 17
 #: Rows of a bucket that are numbered in one task, about.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 500
 
 
 def word_count(text) -> "F.Column":
