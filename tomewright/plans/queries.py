@@ -438,3 +438,11 @@ def html_headings_toc(spark, sf_dir):
 @query()
 def html_identity_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1).alias("title"), X.html_text(F.col("html")).alias("text"))
+
+
+@query("""SELECT page_id, len(regexp_extract_all(html, '<p[ >]'))::INT AS n_p, len(regexp_extract_all(html, '<h1[ >]'))::INT AS n_h1, len(regexp_extract_all(html, '<b[ >]'))::INT AS n_b FROM pages""")
+def html_element_counts(spark, sf_dir):
+    from tomewright.sources.dom import element_counts
+
+    n = element_counts(F.col("html"), ("p", "h1", "b"))
+    return table(spark, sf_dir, "pages").select("page_id", n.alias("n")).select("page_id", *[F.col("n")[k].alias(f"n_{t}") for k, t in enumerate(("p", "h1", "b"))])

@@ -6,6 +6,10 @@ import json
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: An opening tag that ends the open elements of the same kind, up to the container that holds them.
 ENDS = {"li": ({"li"}, {"ul", "ol"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"table"}), "th": ({"td", "th"}, {"table"}), "p": ({"p"}, {"div", "td", "li", "section", "body"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"})}
@@ -140,3 +144,14 @@ def structured(root: Node, kind: str = "Book") -> list[dict]:
             if kind in (types if isinstance(types, list) else [types]):
                 found.append(item)
     return found
+
+
+def element_counts(html: Column, tags: tuple[str, ...]) -> Column:
+    """How many elements of each tag a page has, in the order of the tags; an absent page has none."""
+
+    @F.pandas_udf("array<int>")
+    def run(pages: pd.Series) -> pd.Series:
+        roots = [tree(p if isinstance(p, str) else None) for p in pages]
+        return pd.Series([[len(r.all(t)) for t in tags] for r in roots])
+
+    return run(html)
