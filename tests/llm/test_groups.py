@@ -120,6 +120,25 @@ def test_hot_hashes_fall_apart(spark, monkeypatch):
         assert removed == {i: e[1] for (i, _), e in zip(pairs, expected, strict=True)}
 
 
+def test_hot_windows_repeated_within_a_block_go(spark, monkeypatch):
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcd") for _ in range(n))
+    line, other = word(130), word(260)
+    pairs = [(i, word(60) + line + word(60)) for i in range(12)] + [(20 + i, word(40) + other[i : 200 + i] + word(9) + line + line) for i in range(6)]
+    monkeypatch.setattr(repeats, "HOT", 3)
+    df = spark.createDataFrame(pairs, "doc_id long, text string").repartition(2)
+    blocks = [repeats.pa.table({"block": [k] * 9, "doc_id": [p[0] for p in pairs[k::2]], "text": [p[1] for p in pairs[k::2]]}) for k in (0, 1)]
+    found = repeats._find_twice(repeats.pa.concat_tables([repeats._send_hashes(100, 50, 1)(b) for b in blocks]))
+    assert any(any(x.as_py()) for x in found.column("hot"))
+    mine = lambda t, k: t.filter(repeats.pc.equal(t.column("block"), k))
+    ranges = repeats._find_ranges(100, 50)(repeats.pa.concat_tables([repeats._send_segments(100, 50, 1)(b, mine(found, k)) for k, b in enumerate(blocks)]))
+    out = [r for k, b in enumerate(blocks) for r in repeats._cut(100, 50)(b, mine(ranges, k)).to_pylist()]
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], repeats.hashlib.sha256(r["kept"]).hexdigest()) for r in out}
+    expected = repeats.brute_force([t.encode() for _, t in pairs])
+    assert got == {i: e for (i, _), e in zip(pairs, expected, strict=True)}
+    check_repeats(df, pairs)
+
+
 def test_repeats_of_odd_rows(odd, none):
     assert repeats.cut_repeats(odd).count() == odd.count()
     assert repeats.cut_repeats(none).count() == 0

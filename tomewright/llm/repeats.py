@@ -8,7 +8,8 @@ smaller id, or in the same document further left. The documents are dealt into b
    distinct hashes of its anchors to their buckets, which tell each block the hashes that are found twice or more.
 2. Segments. A block sends the segments of those hashes, equal ones once, the earliest of them, to the buckets. A
    hash of very many segments (a line that is frequent everywhere) is sent as single windows keyed by all their
-   bytes, so that it falls apart over the buckets.
+   bytes, so that it falls apart over the buckets; of equal windows the earliest, while the others of the block are
+   known to be repeats and only their ranges are sent along.
 3. Suffix arrays. A bucket sorts the suffixes of the segments under a hash, computes common prefix lengths, and
    scans them with a stack: the nodes of the common-prefix interval tree of `length` or more whose occurrences
    differ in the byte to their left are the maximal repeats, each with all its occurrences. Every occurrence but the
@@ -201,7 +202,7 @@ def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
 
 HASHES = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
 FOUND = pa.schema([("block", pa.int64()), ("hashes", pa.binary()), ("hot", pa.binary())])
-SENT = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("hashes", pa.binary()), ("places", pa.binary()), ("bytes", pa.binary())])
+SENT = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("hashes", pa.binary()), ("places", pa.binary()), ("bytes", pa.binary()), ("ranges", pa.binary())])
 RANGES = pa.schema([("block", pa.int64()), ("ranges", pa.binary())])
 PLACE = np.dtype([("doc", "<i8"), ("row", "<i4"), ("start", "<i4"), ("size", "<i4"), ("anchor", "<i4")])
 RANGE = np.dtype([("row", "<i4"), ("start", "<i4"), ("size", "<i4")])
@@ -254,6 +255,15 @@ def _local(offsets: np.ndarray, data: np.ndarray, length: int, gram: int, hashes
     return row, start, size, h, anchor[keep], _first_of_equals(data, offsets[row] + start, size, h)
 
 
+def _joined_windows(row: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
+    """Ranges of these windows, in order of row and start; those that follow each other are joined."""
+    first = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(start, prepend=-2) != 1))
+    out = np.zeros(len(first), RANGE)
+    if len(first):
+        out["row"], out["start"], out["size"] = row[first], start[first], np.diff(np.append(first, len(row))) + length - 1
+    return out
+
+
 def _send_segments(length: int, gram: int, buckets: int):
     def run(block: pa.Table, found: pa.Table) -> pa.Table:
         if not found.num_rows or not block.num_rows:
@@ -265,7 +275,7 @@ def _send_segments(length: int, gram: int, buckets: int):
         hashes, hot = hashes[order], hot[order]
         row, start, size, h, anchor, first = _local(offsets, data, length, gram, hashes)
         row, start, size, h, anchor = (x[first] for x in (row, start, size, h, anchor))
-        many = hot[np.searchsorted(hashes, h)]
+        many, later = hot[np.searchsorted(hashes, h)], b""
         if many.any():  # one by one, keyed by all their bytes
             n = size[many] - length + 1
             r, s = np.repeat(row[many], n), np.repeat(start[many], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -276,6 +286,7 @@ def _send_segments(length: int, gram: int, buckets: int):
                 if len(inside):
                     key[inside] = gram_hashes(data[lo : lo + CHUNK + length - 1], length)[where[inside] - lo]
             once = _first_of_equals(data, where, np.full(len(r), length), key)
+            later = _joined_windows(r[~once], s[~once], length).tobytes()
             alone = np.zeros(once.sum(), np.int64)
             row, start, size, h, anchor = (np.concatenate(x) for x in ((row[~many], r[once]), (start[~many], s[once]), (size[~many], alone + length), (h[~many], key[once]), (anchor[~many], alone)))
         order = np.argsort(h, kind="stable")
@@ -287,7 +298,8 @@ def _send_segments(length: int, gram: int, buckets: int):
         cut = np.searchsorted(_bucket_of(h, buckets), np.arange(buckets + 1, dtype=np.uint64))
         name = block.column("block")[0].as_py()
         sizes = size.tolist()
-        return _rows(SENT, [(b, name, h[s:e].tobytes(), place[s:e].tobytes(), b"".join([raw[where[i] : where[i] + sizes[i]] for i in range(s, e)])) for b, (s, e) in enumerate(zip(cut, cut[1:], strict=False)) if e > s])
+        out = [(b, name, h[s:e].tobytes(), place[s:e].tobytes(), b"".join([raw[where[i] : where[i] + sizes[i]] for i in range(s, e)]), b"") for b, (s, e) in enumerate(zip(cut, cut[1:], strict=False)) if e > s]
+        return _rows(SENT, [*out, (name % buckets, name, b"", b"", b"", later)] if later else out)
 
     return run
 
@@ -361,7 +373,8 @@ def _find_ranges(length: int, gram: int):
         if len(cut):
             out["row"], out["start"], out["size"] = place["row"][cut[:, 0]], place["start"][cut[:, 0]] + cut[:, 1], cut[:, 2]
         by = owner[cut[:, 0]] if len(cut) else NONE
-        return _rows(RANGES, [(int(blocks[k]), out[by == k].tobytes()) for k in np.unique(by)])
+        sent = [(int(b), x.as_py()) for b, x in zip(blocks, rows.column("ranges"), strict=True) if len(x.as_py())]
+        return _rows(RANGES, [*sent, *((int(blocks[k]), out[by == k].tobytes()) for k in np.unique(by))])
 
     return run
 
