@@ -127,6 +127,20 @@ def test_toxicity_on_held_out_rows_and_neutral_mentions(spark, none, no_labels):
     assert toxicity.score_toxicity(none, model).count() == 0
 
 
+def test_every_toxic_word_with_support_has_a_weight(spark):
+    rng = np.random.default_rng(7)
+    neutral = [f"w{chr(97 + i)}{chr(97 + k)}" for i in range(20) for k in range(20)]
+    insults = [f"vile{chr(97 + i)}" for i in range(10)]
+    own = [list(rng.choice(neutral, 30)) + (list(rng.choice(insults, 3, replace=False)) if i % 8 == 0 else []) for i in range(400)]
+    docs = spark.createDataFrame([(i, " ".join(ws)) for i, ws in enumerate(own)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 8 == 0)) for i in range(400)], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(docs, labels)
+    assert all(model.score({w}) > 0.3 for w in insults)
+    got = by_id(toxicity.score_toxicity(docs, model))
+    assert all(got[i].predicted == (i % 8 == 0) for i in got if got[i].held_out and i % 8 == 0)
+    assert np.mean([got[i].predicted == 0 for i in got if got[i].held_out and i % 8]) > 0.95
+
+
 def test_toxicity_of_odd_rows(odd):
     got = toxicity.score_toxicity(odd, toxicity.ToxicModel(-3.0, {"one": 6.0})).collect()
     assert len(got) == odd.count() and all(0 <= r.score <= 1 for r in got)

@@ -1,10 +1,11 @@
 """Counterfactual-regularised toxicity classifier.
 
-A logistic regression over the presence of words. The words are picked one after the other from the labelled rows:
-each time the one that tells most about those rows that no picked word explains. Then the weights are fitted with
-word dropout, so that one word suffices where it should. For every labelled sentence with an identity term a twin is
-made in which each term is swapped for the next of its list; the squared change of the score between the two is
-penalised, so that a neutral mention of a group, whichever it is, doesn't move the score.
+A logistic regression over the presence of every word found in SUPPORT labelled rows or more. Each weight has a ridge
+penalty, the smaller the further the word's share of toxic rows is from the base rate (in standard deviations), and is
+fitted with word dropout, so that one word suffices where it should. For every labelled sentence with an identity term
+a twin is made in which each term is swapped for the next of its list; the squared change of the score between the two
+is penalised, so that a neutral mention of a group, whichever it is, doesn't move the score. Only the number of
+labelled rows is bounded.
 
 Words are runs of letters, lower-cased; labels, lang, source and doc_id are no inputs. Null and empty texts get the
 score of no words. Without labelled rows of both kinds every score is the smoothed base rate. Repeated rows are
@@ -14,6 +15,7 @@ scored alike. Ties between words go to the one first by code point. Only doc_id
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tomewright.llm.common import FIT_ROWS, held_out, labelled, work_table
+from tomewright.llm.common import FIT_ROWS, held_out, labelled, slabs, work_table
 
 #: Terms for groups of people, by list; a term is swapped for another of its list.
 IDENTITY = (
@@ -40,35 +42,16 @@ IDENTITY = (
 SWAP = {term: group[(k + 1) % len(group)] for group in IDENTITY for k, term in enumerate(group)}
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[.!?\n]+")
-CANDIDATES, PICKED, LEAST_GAIN = 400, 64, 40.0
+#: Labelled rows that a word is found in, at least, to get a weight.
+SUPPORT = 3
+#: Found words of one step of the fit, about; the steps take the rows in turn.
+SLAB = 1 << 19
 
 
 def words(text: str | None) -> set[str]:
     return set(WORD.findall((text or "").lower()))
 
 
-def gain(a: np.ndarray, b: np.ndarray, pos: float, neg: float) -> np.ndarray:
-    """Log-likelihood ratio (G squared) of words in a of pos and b of neg rows; negative where they speak for the other class."""
-    n, t = pos + neg, a + b
-    cell = lambda x, e: x * np.log(np.maximum(x, 1e-12) / np.maximum(e, 1e-12))
-    g = 2 * (cell(a, t * pos / n) + cell(b, t * neg / n) + cell(pos - a, (n - t) * pos / n) + cell(neg - b, (n - t) * neg / n))
-    return np.where(a * neg >= b * pos, g, -g)
-
-
-def pick(x: np.ndarray, y: np.ndarray) -> list[int]:
-    """Columns of x (0/1), the next always by its gain on the rows without any picked word."""
-    rest, out = np.ones(len(x), bool), []
-    while len(out) < PICKED and rest.any() and y[rest].any() and not y[rest].all():
-        pos, neg = float((rest & y).sum()), float((rest & ~y).sum())
-        g = gain(x[rest & y].sum(0).astype(float), x[rest & ~y].sum(0).astype(float), pos, neg)
-        best = int(np.argmax(g))
-        if g[best] < LEAST_GAIN:
-            break
-        out.append(best)
-        rest &= x[:, best] == 0
-    return out
-
-
 @dataclass
 class ToxicModel:
     bias: float
@@ -79,23 +62,32 @@ class ToxicModel:
         return float(1 / (1 + np.exp(-z)))
 
 
-def fit_weights(x: np.ndarray, y: np.ndarray, swaps: np.ndarray, fairness: float = 10.0, ridge: float = 1e-4, drop: float = 0.6, steps: int = 600, seed: int = 3) -> tuple[np.ndarray, float]:
-    """Weights and bias. swaps: rows x(sentence) - x(its twin), whose squared score change is penalised."""
-    rng = np.random.default_rng(seed)
-    w, b = np.zeros(x.shape[1]), float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)))
-    m, v, t = np.zeros(len(w) + 1), np.zeros(len(w) + 1), 0
-    for _ in range(steps):
-        own = x * (rng.random(x.shape) > drop)
-        own[own.sum(1) == 0] = x[own.sum(1) == 0]  # at least as it was
-        e = (1 / (1 + np.exp(-(own @ w + b))) - y) / len(y)
-        g = np.append(own.T @ e + ridge * w, e.sum())
-        if len(swaps):
-            g[:-1] += fairness * swaps.T @ (swaps @ w) / len(swaps)
-        t += 1
+def fit_weights(found: list[np.ndarray], y: np.ndarray, scale: np.ndarray, swaps: np.ndarray, times: np.ndarray, named: np.ndarray, fairness: float = 10.0, ridge: float = 1.0, drop: float = 0.6, steps: int = 300, seed: int = 3) -> tuple[np.ndarray, float]:
+    """Weights and bias. found: the words of each row; scale: what a word's weight is held to, zero being likeliest.
+
+    swaps: rows x(sentence) - x(its twin) over the named words, found so many times, whose squared score change is penalised.
+    """
+    rng, n = np.random.default_rng(seed), len(y)
+    parts = []  # rows from and to, the row of each word in them, and the word
+    for lo, hi in slabs(np.array([len(f) for f in found]), SLAB):
+        parts.append((lo, hi, np.repeat(np.arange(hi - lo), [len(f) for f in found[lo:hi]]), np.concatenate(found[lo:hi])))
+    u, b = np.zeros(len(scale)), float(np.log((y.sum() + 0.5) / (n - y.sum() + 0.5)))
+    m, v = np.zeros(len(u) + 1), np.zeros(len(u) + 1)
+    for t in range(1, steps + 1):
+        w = scale * u
+        g = ridge * u / n
+        if times.sum():
+            g[named] += fairness * scale[named] * (swaps.T @ (times * (swaps @ w[named]))) / times.sum()
+        lo, hi, row, word = parts[t % len(parts)]
+        on = rng.random(len(word), dtype=np.float32) > drop
+        on |= np.bincount(row, on, hi - lo)[row] == 0  # at least as it was
+        row, word = row[on], word[on]
+        e = (1 / (1 + np.exp(-(np.bincount(row, w[word], hi - lo) + b))) - y[lo:hi]) / (hi - lo)
+        g = np.append(g + scale * np.bincount(word, e[row], len(u)), e.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        step = 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-        w, b = w - step[:-1], b - step[-1]
-    return w, b
+        step = 0.1 * min(0.5, 1 - t / (steps + 1)) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        u, b = u - step[:-1], b - step[-1]
+    return scale * u, b
 
 
 def fit_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = FIT_ROWS, fairness: float = 10.0) -> ToxicModel:
@@ -107,12 +99,11 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic",
             found, twins = [], []
             for text in b.column(1).to_pylist():
                 found.append(sorted(words(text)))
-                pairs = []
+                terms = []
                 for s in SENTENCE.split((text or "").lower()):
-                    one = set(WORD.findall(s))
-                    if not one.isdisjoint(SWAP):
-                        pairs.append(" ".join(sorted(one)) + "\n" + " ".join(sorted(SWAP.get(w, w) for w in one)))
-                twins.append(pairs[:50])
+                    if own := SWAP.keys() & set(WORD.findall(s)):
+                        terms.append(" ".join(sorted(own)))  # a twin differs in nothing else
+                twins.append(terms)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.string())), pa.array(twins, pa.list_(pa.string()))], ["y", "words", "twins"])
 
     rows = work_table(own.select(F.col("label").cast("long"), "text").mapInArrow(run, "y long, words array<string>, twins array<string>"), "words")
@@ -121,32 +112,36 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic",
     if not pos or pos == n:
         return base
     counts = rows.select("y", F.explode("words").alias("w")).groupBy("w").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
-    t, rate = F.col("a") + F.col("b"), pos / n
-    z = (F.col("a") - t * rate) / F.sqrt(t * rate * (1 - rate))  # a plain ranking; picking is exact
-    top = counts.where("a + b >= 3").orderBy(F.abs(z).desc(), "w").limit(CANDIDATES).toPandas()
-    vocabulary = sorted({*top.w, *SWAP})
+    top = counts.where((F.col("a") + F.col("b") >= SUPPORT) | F.col("w").isin(*SWAP)).toPandas().sort_values("w")
+    vocabulary = top.w.tolist()  # bounded by the labelled rows, as is all below
+    t, rate = (top.a + top.b).to_numpy(), pos / n
+    scale = np.abs(top.a.to_numpy() - t * rate) / np.sqrt(t * rate * (1 - rate)) / 3
+    spread = rows.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = {w: i for i, w in enumerate(spread.value)}
+        for b in batches:
+            own = [sorted(place[w] for w in ws if w in place) for ws in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own, pa.list_(pa.int32()))], ["y", "found"])
+
+    slim = rows.select("y", "words").mapInArrow(places, "y long, found array<int>").toPandas()
+    y, found = slim.y.to_numpy() > 0, [np.asarray(f, np.int32) for f in slim.found]
+    order = sorted(range(len(y)), key=lambda i: (zlib.crc32(found[i].tobytes()), found[i].tobytes(), y[i]))  # kinds mixed
+    twins = sorted(tuple(r) for r in rows.select(F.explode("twins").alias("terms")).groupBy("terms").count().collect())
     place = {w: i for i, w in enumerate(vocabulary)}
-    known = F.array(*[F.lit(w) for w in vocabulary])
-    slim = rows.select("y", F.array_intersect("words", known).alias("words"), "twins").toPandas()  # at most `limit` rows
-    x, y = np.zeros((len(slim), len(vocabulary)), np.float32), slim.y.to_numpy() > 0
-    for i, ws in enumerate(slim.words):
-        x[i, [place[w] for w in ws]] = 1
-    order = np.lexsort((*x.T[:8], y))
-    x, y = x[order], y[order]
-    chosen = pick(x, y)
-    chosen = sorted({*chosen, *[place[w] for w in SWAP if x[:, place[w]].any()]})
-    swaps = []
-    for pair in (p for ps in slim.twins for p in ps):
-        a, b = (set(s.split(" ")) for s in pair.split("\n"))
-        swaps.append([(vocabulary[c] in a) - (vocabulary[c] in b) for c in chosen])
-    swaps = np.array(sorted(swaps), float).reshape(-1, len(chosen))
-    w, bias = fit_weights(x[:, chosen].astype(float), y, swaps, fairness)
-    return ToxicModel(float(bias), {vocabulary[c]: float(v) for c, v in zip(chosen, w, strict=True)})
+    named = sorted(w for w in SWAP if w in place)
+    swaps = np.zeros((len(twins), len(named)))
+    for k, (terms, _) in enumerate(twins):
+        a = set(terms.split(" "))
+        b = {SWAP[w] for w in a}
+        swaps[k] = [(w in a) - (w in b) for w in named]
+    w, bias = fit_weights([found[i] for i in order], y[order].astype(float), scale, swaps, np.array([c for _, c in twins], float), np.array([place[w] for w in named], int), fairness)
+    return ToxicModel(float(bias), dict(zip(vocabulary, w.tolist(), strict=True)))
 
 
 def score_toxicity(documents: DataFrame, model: ToxicModel, threshold: float = 0.3) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row."""
-    spread = documents.sparkSession.sparkContext.broadcast(model)  # a few hundred words
+    spread = documents.sparkSession.sparkContext.broadcast(model)  # bounded by the labelled rows
     own = documents.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
     kind = own.schema["doc_id"].dataType.simpleString()
 
