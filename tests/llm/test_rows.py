@@ -184,6 +184,15 @@ def test_masking_and_odd_rows(spark, odd, none):
     assert pii.mask(odd).count() == odd.count() and pii.find_pii(none).count() == 0
 
 
+def test_whole_texts_are_decoded():
+    far = "Please email info at example dot com for more"
+    cut = "12 , " * 199 + "call (212) 555-0187 before noon."
+    for text, kind, part in ((far, "email", "info at example dot com"), (cut, "phone", "(212) 555-0187")):
+        at = text.index(part)
+        assert (kind, at, at + len(part)) in pii.all_spans([text])[0][1]
+    assert pii.masked(far, pii.all_spans([far])[0][1]) == "Please email [EMAIL] for more"
+
+
 def test_training_table_is_decoded_as_marked():
     rows = [pii._example(s) for s in pii.SENTENCES]
     assert pii.viterbi([r[0] for r in rows]) == [r[1] for r in rows]

@@ -3,9 +3,7 @@
 The patterns find e-mail addresses, IP addresses, payment cards (Luhn) and phone numbers in their plain forms. A
 linear-chain CRF over word-shape features finds further spellings (phone numbers without a plus, addresses spelled
 with "at" and "dot", cards in other groupings). It is trained from a small labelled table of sentences below and
-decoded by Viterbi, many runs of tokens at once, in numpy. Potentials of tokens that are far from any digit, `@` or
-bracketed "at" are zero for all labels but O, so only the runs around such tokens need decoding; the result is that
-for the whole text. A span of the CRF is added where its digits or parts make it possible and no pattern's span
+decoded by Viterbi over all tokens of each whole text, many texts at once, in numpy. A span of the CRF is added where its digits or parts make it possible and no pattern's span
 overlaps; pattern spans always stay.
 
 Spans are (kind, start, end) in code points, end exclusive. Null and empty texts have none. Repeated rows are judged
@@ -60,13 +58,14 @@ def base_spans(text: str) -> list[Span]:
 # --- the random field ----------------------------------------------------------------------------------------------
 
 TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\s]")
-TRIGGER = re.compile(r"[0-9]|@|[\[(]\s?at\s?[\])]", re.I)
 CUES = ("at", "dot", "call", "phone", "tel", "fax", "mobile", "card", "visa", "mail", "email", "version", "page", "year", "isbn", "com", "org", "net")
 MARKS = "()[]-.+@,:;/_#$%"
 #: Word shapes: numbers by length, cue words, other words by length and case, marks.
 SHAPES = ["<edge>", *(f"d{k}" for k in (1, 2, 3, 4, 5, 6, 7)), *CUES, "x", "Xx", "X", "xx", *MARKS, "?"]
 PLACE = {s: i for i, s in enumerate(SHAPES)}
 REACH = 2
+#: Tokens that are decoded together, if no single text has more.
+TOGETHER = 1 << 18
 LABELS = ("O", *KINDS)
 
 
@@ -160,46 +159,50 @@ def fit_crf(steps: int = 250, ridge: float = 0.02) -> tuple[np.ndarray, np.ndarr
     return weight, move
 
 
-def viterbi(runs: list[list[int]]) -> list[list[int]]:
+def viterbi(runs: list) -> list[list[int]]:
     """The best labels of each run of shapes; runs of like length are decoded together."""
     weight, move = fit_crf()
-    out: list[list[int]] = [[]] * len(runs)
-    order = sorted(range(len(runs)), key=lambda i: len(runs[i]))
-    for lo in range(0, len(order), 256):
-        part = order[lo : lo + 256]
-        size = max(len(runs[i]) for i in part)
-        x = np.zeros((len(part), size), int)
-        for k, i in enumerate(part):
-            x[k, : len(runs[i])] = runs[i]
+    out: list[list[int]] = [[] for _ in runs]
+    order = sorted((i for i in range(len(runs)) if len(runs[i])), key=lambda i: -len(runs[i]))
+    lo = 0
+    while lo < len(order):
+        size = len(runs[order[lo]])
+        part = order[lo : lo + max(1, min(1024, TOGETHER // size))]
+        lo += len(part)
         n = np.array([len(runs[i]) for i in part])
-        e = _emissions(weight, x)
-        score, came = e[:, 0], np.zeros((len(part), size, len(LABELS)), np.int8)
-        for t in range(1, size):
-            step = score[:, :, None] + move
-            came[:, t] = step.argmax(1)
-            score = np.where((t < n)[:, None], step.max(1) + e[:, t], score)
-        now = score.argmax(1)
-        best = np.zeros((len(part), size), int)
+        x = np.zeros((size + 2 * REACH, len(part)), np.uint8)  # edges around
+        for k, i in enumerate(part):
+            x[REACH : REACH + n[k], k] = np.frombuffer(bytes(runs[i]), np.uint8)
+        on = np.searchsorted(-n, -np.arange(size + 1)).tolist()  # the runs that have a token there come first
+        score = np.empty((size, len(LABELS), len(part)))
+        for at in range(0, size, 256):
+            end = min(at + 256, size)
+            e = sum(np.take(weight[k].T, x[at + k : end + k], axis=1) for k in range(2 * REACH + 1))
+            for t in range(at, end):
+                m = on[t]
+                score[t, :, :m] = (score[t - 1, :, None, :m] + move[:, :, None]).max(0) + e[:, t - at, :m] if t else e[:, 0, :m]
+        best, now = np.zeros((size, len(part)), np.uint8), np.zeros(len(part), int)
         for t in range(size - 1, -1, -1):
-            best[:, t] = np.where(t < n, now, 0)
-            now = np.where((t < n) & (t > 0), came[np.arange(len(part)), t, now], now)
+            later, m = on[t + 1], on[t]
+            now[:later] = (score[t, :, :later] + move[:, now[:later]]).argmax(0)
+            now[later:m] = score[t, :, later:m].argmax(0)
+            best[t, :m] = now[:m]
         for k, i in enumerate(part):
-            out[i] = best[k, : n[k]].tolist()
+            out[i] = best[: n[k], k].tolist()
     return out
 
 
-AROUND = 80
+class _Shapes(dict):
+    """Shapes of tokens; so many are remembered."""
+
+    def __missing__(self, token: str) -> int:
+        found = shape(token)
+        if len(self) < 100_000:
+            self[token] = found
+        return found
 
 
-def runs_of(text: str) -> list[tuple[int, int]]:
-    """Stretches of code points around digits, @ and bracketed "at", cut at spaces where possible."""
-    out: list[list[int]] = []
-    for m in TRIGGER.finditer(text):
-        if out and m.start() - AROUND <= out[-1][1]:
-            out[-1][1] = m.end() + AROUND
-        else:
-            out.append([max(0, m.start() - AROUND), m.end() + AROUND])
-    return [(s, min(e, len(text))) for s, e in out]
+_shapes = _Shapes()
 
 
 def possible(kind: str, text: str) -> bool:
@@ -216,16 +219,11 @@ def possible(kind: str, text: str) -> bool:
 def all_spans(texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
     """For each text the spans of the patterns, and all spans with those of the field, by kind and start."""
     base = [base_spans(t) for t in texts]
-    owner, tokens = [], []
-    for i, t in enumerate(texts):
-        for s, e in runs_of(t):
-            own = list(TOKEN.finditer(t, s, e))
-            for at in range(0, len(own), 400):  # very long runs are decoded in parts
-                owner.append(i)
-                tokens.append(own[at : at + 400])
     more: list[list[Span]] = [[] for _ in texts]
-    for i, own, best in zip(owner, tokens, viterbi([[shape(m[0]) for m in own] for own in tokens]), strict=True):
-        at = 0
+    for i, best in enumerate(viterbi([bytes(map(_shapes.__getitem__, TOKEN.findall(t))) for t in texts])):
+        if not any(best):
+            continue
+        own, at = list(TOKEN.finditer(texts[i])), 0
         while at < len(own):
             end = at + 1
             while end < len(own) and best[end] == best[at]:
