@@ -4,29 +4,35 @@ An item is found in a document if some window of as many words as the item has a
 their five-word shingles (A-Z lower-cased, with their counts) of at least `similarity`. A document of fewer words is
 one window.
 
-1. Two texts that similar have shingles in common. The documents' shingle hashes are joined with those of the items,
-   whose table has a checked size (beyond it, the join is by shuffle).
-2. A window that reaches the similarity holds so many shared shingles at least as follows from it; the runs of shared
-   positions that are close enough give the few windows that can.
-3. Those windows and the items are fingerprinted by SimHash. A multi-index over blocks of the fingerprint finds all
-   pairs within the radius: of 8 blocks one differs by at most radius / 8 bits. At a similarity of 0.8, 64 bits differ
-   in about 10 places; the radius of 23 is over four standard deviations above.
-4. The shared counts verify each candidate exactly.
+1. Windows. For each size that items have, the positions of a document are marked whose shingle is in any item of that
+   size. A window that reaches the similarity to one of them holds so many marked positions at least as follows from
+   it; the others are left out, which loses no pair. Which item it might be isn't asked.
+2. Fingerprints. Each window left, and each item, is fingerprinted by SimHash over all its shingles.
+3. Multi-index. The fingerprints are cut into 8 blocks; of two within the radius one block differs by at most
+   radius / 8 bits. Items stand in the index under all such values of their blocks, windows look theirs up, and the
+   whole fingerprints decide: all pairs of a window and an item of its size within the radius, and no others, go on.
+   At a similarity of 0.8, 64 bits differ in about 10 places; the radius of 23 is over four standard deviations above.
+4. The shared counts of the shingles verify each such pair exactly.
 
 Items of fewer than five words are one shingle, compared with all windows of their length; items without words match
-nothing. Null texts have no words. Repeated rows and ids: pairs are given once. A null doc_id or item_id is kept as
-null. Only the id and text columns are read.
+nothing. Null texts have no words. Repeated rows and ids: pairs are given once, with the best of their windows. A null
+doc_id or item_id is kept as null. Ties don't matter, as only the similarity is given. Only the id and text columns
+are read, so others may have any name.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tomewright.llm.common import BROADCAST_BYTES, plan_bytes, work_table
+from tomewright.llm.common import work_table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SHINGLE, SIMILARITY, RADIUS, BLOCKS = 5, 0.8, 23, 8
+#: Rows of a few numbers each that a broadcast may have; as hash tables they take less than 100 MB.
+BROADCAST_ROWS = 1_000_000
 
 
 def words_of(text: str) -> "F.Column":
@@ -42,9 +48,17 @@ def hashes_of(words: str, size: int) -> "F.Column":
     return F.transform(F.array(words), each)[0]
 
 
-def fitting(df: DataFrame) -> DataFrame:
-    """Broadcast df if its table is small enough; else leave the choice to Spark."""
-    return F.broadcast(df) if plan_bytes(df) <= BROADCAST_BYTES else df
+def placed(rows: DataFrame, size: int) -> DataFrame:
+    """rows with (n, pos, h) for each run of `size` words; the words come out of a generator, so that they are split once a row."""
+    kept = [c for c in rows.columns if c != "words"]
+    bound = rows.select(*kept, F.explode(F.array("words")).alias("words"))
+    runs = bound.select(*kept, "words", (F.size("words") - size + 1).alias("n"), F.explode(F.when(F.size("words") >= size, F.sequence(F.lit(0), F.size("words") - size))).alias("pos"))
+    return runs.select(*kept, "n", "pos", F.xxhash64(*[F.get("words", F.col("pos") + k) for k in range(size)]).alias("h"))
+
+
+def fitting(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast df if its rows, counted before, are few enough; else it is joined by shuffle."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
 def fingerprints(rows: DataFrame, keys: list[str], many: bool) -> DataFrame:
@@ -59,58 +73,63 @@ def fingerprints(rows: DataFrame, keys: list[str], many: bool) -> DataFrame:
     return sums.select(*keys, fp.alias("fp"))
 
 
+def near_prints(prints: DataFrame, index: DataFrame, items: int, radius: int, same: list[str]) -> DataFrame:
+    """(same, fp, item): all pairs of a print and an indexed print that agree in `same` and differ in at most `radius` bits.
+
+    prints: (same, fp), distinct; index: (same, item, fp). Each value of the index stands for all that differ by so
+    few bits as one block of a pair within the radius must.
+    """
+    width = 64 // BLOCKS
+    near = F.array(*[F.lit(x) for x in range(1 << width) if x.bit_count() <= radius // BLOCKS])
+    cut = lambda df: df.select("*", F.posexplode(F.array(*[F.shiftrightunsigned("fp", k * width).bitwiseAND(F.lit((1 << width) - 1)) for k in range(BLOCKS)])).alias("block", "value"))
+    entries = cut(index).withColumn("near", F.explode(near)).select(*same, "block", F.col("value").bitwiseXOR(F.col("near")).alias("value"), "item", F.col("fp").alias("item_fp"))
+    entries = fitting(entries, items * BLOCKS * sum(x.bit_count() <= radius // BLOCKS for x in range(1 << width)))
+    pairs = cut(prints).join(entries, [*same, "block", "value"])
+    return pairs.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius).select(*same, "fp", "item").distinct()
+
+
 def leaks(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """(doc_id, item_id, similarity) of every document and item with a window of that similarity; the best of its windows."""
     items = benchmark.select("item_id", "text").distinct().select("item_id", words_of("text").alias("words")).where("size(words) > 0")
-    items = items.withColumn("item", F.xxhash64("item_id", "words"))
-    items = items.withColumn("shingle", F.least(F.size("words"), F.lit(SHINGLE)))
-    hashes = None
-    for k in range(1, SHINGLE + 1):
-        h = F.when(F.col("shingle") == k, hashes_of("words", k))
-        hashes = h if hashes is None else F.coalesce(hashes, h)
+    items = items.withColumn("item", F.xxhash64("item_id", "words")).withColumn("shingle", F.least(F.size("words"), F.lit(SHINGLE)))
+    hashes = F.coalesce(*[F.when(F.col("shingle") == k, hashes_of("words", k)) for k in range(1, SHINGLE + 1)])
     items = work_table(items.select("item", "item_id", "shingle", hashes.alias("hashes")).withColumn("m", F.size("hashes")), "items")
-    about = items.agg(F.collect_set("shingle"), F.max("m")).first()  # at most five sizes, and a number
+    known, kinds, longest = items.agg(F.count("*"), F.collect_set("shingle"), F.max("m")).first()  # three numbers and five shingle sizes at most
+    if not known:
+        return documents.select("doc_id").join(benchmark.select("item_id"), F.lit(False)).withColumn("similarity", F.lit(0.0))
     shingles = items.select("item", "shingle", "m", F.explode("hashes").alias("h")).groupBy("item", "shingle", "m", "h").agg(F.count("*").alias("c"))
     shingles = work_table(shingles, "shingles")
+    marks = work_table(shingles.select("shingle", "m", "h").distinct(), "marks")
+    n_shingles = shingles.count()
     docs = documents.select("doc_id", F.xxhash64("doc_id", "text").alias("rid"), words_of("text").alias("words"))
-    hits = None
-    for k in sorted(about[0]) or [SHINGLE]:
-        rows = docs.select("doc_id", "rid", hashes_of("words", k).alias("hashes"))
-        rows = rows.select("doc_id", "rid", F.size("hashes").alias("n"), F.posexplode("hashes").alias("pos", "h"))
-        rows = rows.join(fitting(shingles.where(F.col("shingle") == k)), "h")
-        hits = rows if hits is None else hits.unionByName(rows)
-    # the windows that hold enough shared shingles, by the first shared position in them
-    hits = hits.groupBy("doc_id", "rid", "n", "item", "shingle", "m").agg(F.array_sort(F.collect_set(F.struct("pos", "h", "c"))).alias("hits"))
+    union = lambda parts: reduce(DataFrame.unionByName, parts)
+    # 1. the windows that hold enough marked positions, by the first of them
+    hits = union([placed(docs, k).join(fitting(marks.where(F.col("shingle") == k), n_shingles), "h") for k in sorted(kinds)])
+    hits = hits.groupBy("doc_id", "rid", "n", "shingle", "m").agg(F.array_sort(F.collect_set(F.struct("pos", "h"))).alias("hits"))  # as long as the text
     hits = hits.withColumn("size", F.least("n", "m")).withColumn("need", F.ceil(similarity * (F.col("size") + F.col("m")) / (1 + similarity) - 1e-9).cast("int"))
-    hits = hits.where("size(hits) >= need")
-    last = F.expr("""transform(slice(hits, 1, size(hits) - need + 1), (x, j) -> struct(j,
-        greatest(0, hits[j + need - 1].pos - size + 1, if(j = 0, 0, hits[greatest(j - 1, 0)].pos + 1)) AS low, least(x.pos, n - size) AS high))""")
-    starts = F.filter(last, lambda x: x["low"] <= x["high"])
-    windows = hits.withColumn("at", F.explode(starts))
-    windows = windows.select("doc_id", "rid", "item", "shingle", "m", "size", F.expr("slice(hits, at.j + 1, size)").alias("inside"), F.explode(F.expr("sequence(at.low, at.high)")).alias("start"))
-    keys = ["doc_id", "rid", "item", "shingle", "m", "size", "start"]
-    shared = windows.select(*keys, F.explode(F.expr("filter(inside, x -> x.pos < start + size)")).alias("x")).groupBy(*keys, "x.h", "x.c").agg(F.count("*").alias("k"))
-    shared = shared.groupBy(*keys).agg(F.sum(F.least("k", "c")).alias("shared"))
-    windows = work_table(shared.withColumn("similarity", F.col("shared") / (F.col("size") + F.col("m") - F.col("shared"))), "windows")
-    # fingerprints of the windows, from the documents that have any
-    own = None
-    for k in sorted(about[0]):
-        w = windows.where(F.col("shingle") == k).groupBy("rid").agg(F.collect_set(F.struct("item", "start", "size")).alias("windows"))
-        rows = docs.join(fitting(w), "rid").select("rid", hashes_of("words", k).alias("hashes"), "windows").select("rid", "hashes", F.explode("windows").alias("w"))
-        rows = rows.select("rid", "w.item", "w.start", F.expr("slice(hashes, w.start + 1, w.size)").alias("hashes")).distinct().select("rid", "item", "start", F.explode("hashes").alias("h"))
-        own = rows if own is None else own.union(rows)
-    if own is None:
-        return documents.select("doc_id").join(benchmark.select("item_id"), F.lit(False)).withColumn("similarity", F.lit(0.0))
-    many = about[1] > 255
-    prints = fingerprints(own, ["rid", "item", "start"], many)
-    index = fingerprints(items.select("item", F.explode("hashes").alias("h")), ["item"], many)
-    # multi-index: item blocks with all values that differ by so few bits, window blocks as they are
-    width = 64 // BLOCKS
-    near = F.array(*[F.lit(x) for x in range(1 << width) if bin(x).count("1") <= radius // BLOCKS])
-    blocks = lambda df: df.withColumn("block", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.shiftrightunsigned("fp", k * width).bitwiseAND(F.lit((1 << width) - 1)).alias("v")) for k in range(BLOCKS)])))
-    index = blocks(index).withColumn("near", F.explode(near)).select("item", F.col("fp").alias("item_fp"), F.col("block.k").alias("k"), F.col("block.v").bitwiseXOR(F.col("near")).alias("v"))
-    found = blocks(prints).select("rid", "item", "start", "fp", "block.k", "block.v").join(index, ["item", "k", "v"])
-    found = found.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius).select("rid", "item", "start").distinct()
-    found = found.join(windows.where(F.col("similarity") >= similarity - 1e-12), ["rid", "item", "start"])
-    found = found.join(items.select("item", "item_id"), "item")
-    return found.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))
+    starts = F.expr("""filter(transform(slice(hits, 1, size(hits) - need + 1), (x, j) -> struct(j,
+        greatest(0, hits[j + need - 1].pos - size + 1, if(j = 0, 0, hits[greatest(j - 1, 0)].pos + 1)) AS low, least(x.pos, n - size) AS high)), x -> x.low <= x.high)""")
+    windows = hits.where("size(hits) >= need").withColumn("at", F.explode(starts))
+    keys = ["rid", "shingle", "m", "start"]
+    windows = windows.select("doc_id", "rid", "shingle", "m", "size", F.expr("slice(hits, at.j + 1, size)").alias("inside"), F.explode(F.expr("sequence(at.low, at.high)")).alias("start"))
+    windows = work_table(windows.withColumn("inside", F.expr("transform(filter(inside, x -> x.pos < start + size), x -> x.h)")), "windows")
+    # 2. their fingerprints, from the documents that have any
+    own = windows.groupBy("rid", "shingle").agg(F.collect_set(F.struct("m", "start", "size")).alias("windows"))
+    n_own = windows.count()
+    parts = []
+    for k in sorted(kinds):
+        rows = docs.join(fitting(own.where(F.col("shingle") == k), n_own), "rid").select("rid", "shingle", hashes_of("words", k).alias("hashes"), "windows").dropDuplicates(["rid"])
+        rows = rows.select("rid", "shingle", "hashes", F.explode("windows").alias("w"))
+        parts.append(rows.select("rid", "shingle", "w.m", "w.start", F.explode(F.expr("slice(hashes, w.start + 1, w.size)")).alias("h")))
+    prints = work_table(fingerprints(union(parts), keys, longest > 255), "prints")
+    index = fingerprints(items.select("item", "shingle", "m", F.explode("hashes").alias("h")), ["item", "shingle", "m"], longest > 255)
+    # 3. candidates: equal fingerprints are looked up once
+    found = work_table(near_prints(prints.select("shingle", "m", "fp").distinct(), index, known, radius, ["shingle", "m"]), "found")
+    found = prints.join(fitting(found, found.count()), ["shingle", "m", "fp"]).select(*keys, "item")
+    # 4. verification; all windows of a document stay together
+    found = found.repartition("rid").join(windows, keys).select("doc_id", *keys, "size", "item", F.explode("inside").alias("h"))
+    found = found.groupBy("doc_id", *keys, "size", "item", "h").agg(F.count("*").alias("k"))
+    found = found.join(fitting(shingles.select("item", "h", "c"), n_shingles), ["item", "h"])
+    found = found.groupBy("doc_id", *keys, "size", "item").agg(F.sum(F.least("k", "c")).alias("shared"))
+    found = found.withColumn("similarity", F.col("shared") / (F.col("size") + F.col("m") - F.col("shared"))).where(F.col("similarity") >= similarity - 1e-12)
+    return found.join(items.select("item", "item_id"), "item").groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))
