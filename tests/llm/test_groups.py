@@ -105,7 +105,7 @@ def test_hot_hashes_fall_apart(spark, monkeypatch):
     pairs = [(i, word(60) + line + word(60)) for i in range(40)] + [(100 + i, "x" * 5 + line * 2) for i in range(4)]
     df = spark.createDataFrame(pairs, "doc_id long, text string")
     check_repeats(df, pairs)
-    blocks = [repeats.pa.table({"block": [k] * 22, "doc_id": [p[0] for p in pairs[22 * k : 22 * k + 22]], "text": [p[1] for p in pairs[22 * k : 22 * k + 22]]}) for k in (0, 1)]
+    blocks = [repeats.pa.table({"block": [k] * 22, "tie": [0] * 22, "doc_id": [p[0] for p in pairs[22 * k : 22 * k + 22]], "text": [p[1] for p in pairs[22 * k : 22 * k + 22]]}) for k in (0, 1)]
     for hot, most in ((5, 50_000), (10**6, 30)):
         monkeypatch.setattr(repeats, "HOT", hot)
         monkeypatch.setattr(repeats, "SUFFIXES", most)
@@ -127,7 +127,7 @@ def test_hot_windows_repeated_within_a_block_go(spark, monkeypatch):
     pairs = [(i, word(60) + line + word(60)) for i in range(12)] + [(20 + i, word(40) + other[i : 200 + i] + word(9) + line + line) for i in range(6)]
     monkeypatch.setattr(repeats, "HOT", 3)
     df = spark.createDataFrame(pairs, "doc_id long, text string").repartition(2)
-    blocks = [repeats.pa.table({"block": [k] * 9, "doc_id": [p[0] for p in pairs[k::2]], "text": [p[1] for p in pairs[k::2]]}) for k in (0, 1)]
+    blocks = [repeats.pa.table({"block": [k] * 9, "tie": [0] * 9, "doc_id": [p[0] for p in pairs[k::2]], "text": [p[1] for p in pairs[k::2]]}) for k in (0, 1)]
     found = repeats._find_twice(repeats.pa.concat_tables([repeats._send_hashes(100, 50, 1)(b) for b in blocks]))
     assert any(any(x.as_py()) for x in found.column("hot"))
     mine = lambda t, k: t.filter(repeats.pc.equal(t.column("block"), k))
@@ -139,11 +139,29 @@ def test_hot_windows_repeated_within_a_block_go(spark, monkeypatch):
     check_repeats(df, pairs)
 
 
-def test_repeats_of_odd_rows(odd, none):
-    assert repeats.cut_repeats(odd).count() == odd.count()
+def test_repeats_of_odd_rows(spark, odd, none):
+    """Null ids count as the least; equal ids stand in order of the hash of their text; equal rows in any."""
+    long = spark.createDataFrame([(5, "p q " * 90), (None, "p q " * 90), (None, "r s " * 60), (3, "r s " * 60), (5, "t u " * 70), (5, "t u " * 70)], "doc_id long, text string")
+    for df in (odd.select("doc_id", "text"), long, long.union(odd.select("doc_id", "text"))):
+        rows = df.select("doc_id", "text", F.xxhash64("text").alias("tie")).collect()
+        rows.sort(key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.tie, r.text or ""))
+        expected = repeats.brute_force([(r.text or "").encode() for r in rows])
+        got = repeats.cut_repeats(df).withColumn("sha", repeats.digest_of("kept")).collect()
+        assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.sha) for r in got) == Counter((r.doc_id, *e) for r, e in zip(rows, expected, strict=True))
     assert repeats.cut_repeats(none).count() == 0
 
 
+def test_a_line_in_every_document_and_one_long_text(spark, monkeypatch):
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    line = word(140)
+    pairs = [(i, f"{word(rng.randint(0, 90))}{line}{word(rng.randint(0, 90))}") for i in range(150)] + [(200, word(30_000) + line), (201, "z" * 20_000)]
+    df = spark.createDataFrame(pairs, "doc_id long, text string")
+    for hot in (10, 20_000):
+        monkeypatch.setattr(repeats, "HOT", hot)
+        check_repeats(df, pairs, block_bytes=4000)
+
+
 def test_interval_tree_gives_maximal_repeats_with_all_occurrences():
     rng = random.Random(1)
     for _ in range(30):

@@ -7,17 +7,20 @@ smaller id, or in the same document further left. The documents are dealt into b
    Equal windows have equal anchors at equal offsets. The windows of one anchor form a segment. Each block sends the
    distinct hashes of its anchors to their buckets, which tell each block the hashes that are found twice or more.
 2. Segments. A block sends the segments of those hashes, equal ones once, the earliest of them, to the buckets. A
-   hash of very many segments (a line that is frequent everywhere) is sent as single windows keyed by all their
-   bytes, so that it falls apart over the buckets; of equal windows the earliest, while the others of the block are
-   known to be repeats and only their ranges are sent along.
+   hash of very many different segments (a line that is frequent everywhere) is sent as single windows, each as two
+   independent 64-bit hashes of all its bytes and its place, so that it falls apart over the buckets; of equal windows
+   the earliest, while the others of the block are known to be repeats and only their ranges are sent along. Windows
+   of such hashes count as equal if all 128 bits are.
 3. Suffix arrays. A bucket sorts the suffixes of the segments under a hash, computes common prefix lengths, and
    scans them with a stack: the nodes of the common-prefix interval tree of `length` or more whose occurrences
    differ in the byte to their left are the maximal repeats, each with all its occurrences. Every occurrence but the
    first is a range to remove.
 4. Each block joins those ranges with what it repeats itself, and cuts.
 
-Equal ids: their rows count as documents in order of their text. A null id counts as smaller than any. Null and
-empty texts have no bytes; texts shorter than `length` keep all. Only doc_id and text are read.
+Equal ids: their rows count as documents in order of a hash of their text (XXH64 as Spark takes it), then of the text;
+equal rows are interchangeable. A null id counts as smaller than any. Null and empty texts have no bytes; texts
+shorter than `length` keep all. An empty table gives none. Only doc_id and text are read, so other columns may have
+any name.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ from tomewright.llm.common import pieces, utf8
 LENGTH, GRAM = 100, 50
 #: Windows that are hashed in one go.
 CHUNK = 1 << 17
-#: Segments with one hash beyond which its windows are sent one by one.
+#: Different segments with one hash beyond which its windows are sent one by one.
 HOT = 20_000
 #: Suffixes in one suffix array at most, if a hash has no more.
 SUFFIXES = 50_000
@@ -50,27 +53,31 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-_bytes = _mix(np.arange(1, 257, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
+_powers: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+#: Two independent hashes: a base, and a number for each byte.
+_bases = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F)
+_bytes = tuple(_mix(np.arange(1 + 256 * k, 257 + 256 * k, dtype=np.uint64) * U(0x9E3779B97F4A7C15)) for k in (0, 1))
 
 
-def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """A hash of data[i : i + size] for every i."""
+def _sums(data: np.ndarray, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of the bytes times powers of the base, and the inverse powers: they give the hash of any stretch."""
     n = len(data)
-    if n < size:
-        return np.zeros(0, np.uint64)
-    base = 0x9E3779B97F4A7C15 | 1
-    cap = CHUNK + 4 * LENGTH
-    if n > cap:
-        cap = n
-    if cap not in _powers:
-        back = pow(base, -1, 1 << 64)
+    cap = max(n, CHUNK + 4 * LENGTH)
+    if (cap, which) not in _powers:
         with np.errstate(over="ignore"):
-            _powers[cap] = tuple(np.cumprod(np.concatenate([[U(1)], np.full(cap, U(b))])) for b in (base, back))
-    up, down = _powers[cap]
+            _powers[cap, which] = tuple(np.cumprod(np.concatenate([[U(1)], np.full(cap, U(b))])) for b in (_bases[which], pow(_bases[which], -1, 1 << 64)))
+    up, down = _powers[cap, which]
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_bytes[data] * up[:n], out=total[1:])
-    return _mix((total[size:] - total[:-size]) * down[: n - size + 1])
+    np.cumsum(_bytes[which][data] * up[:n], out=total[1:])
+    return total, down
+
+
+def gram_hashes(data: np.ndarray, size: int, which: int = 0) -> np.ndarray:
+    """A hash of data[i : i + size] for every i."""
+    if len(data) < size:
+        return np.zeros(0, np.uint64)
+    total, down = _sums(data, which)
+    return _mix((total[size:] - total[:-size]) * down[: len(data) - size + 1])
 
 
 def _least(keys: np.ndarray, width: int) -> np.ndarray:
@@ -83,12 +90,13 @@ def _least(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(offsets: np.ndarray, data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(row, start in the document, windows, hash, anchor's offset) of every segment of these documents."""
+    """(row, start in the document, windows, hash of the anchor, its offset, hash of all bytes) of every segment."""
     sizes = np.diff(offsets)
     out = []
     for at in range(0, max(0, len(data) - length + 1), CHUNK):
         end = min(at + CHUNK, len(data) - length + 1)  # window starts of this chunk
-        h = gram_hashes(data[at : end + length - 1], gram)
+        total, down = _sums(data[at : end + length - 1])
+        h = _mix((total[gram:] - total[:-gram]) * down[: end - at + length - gram])
         place = np.arange(len(h), dtype=np.uint64)
         anchor = (_least((h & ~U((1 << 24) - 1)) | place, length - gram + 1) & U((1 << 24) - 1)).astype(np.int64)
         lo, hi = np.searchsorted(offsets, at, "right") - 1, np.searchsorted(offsets, end, "left")
@@ -110,8 +118,9 @@ def segments(offsets: np.ndarray, data: np.ndarray, length: int = LENGTH, gram:
         starts = np.flatnonzero(new & valid)
         row = rows[np.searchsorted(first, starts, "right") - 1]
         stop = np.minimum(np.append(starts[1:], end - at), last[np.searchsorted(first, starts, "right") - 1])
-        out.append((row, starts + at - offsets[row], stop - starts, h[anchor[starts]], anchor[starts] - starts))
-    return tuple(np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.uint64 if k == 3 else np.int64) for k in range(5))
+        whole = _mix((total[stop + length - 1] - total[starts]) * down[starts])
+        out.append((row, starts + at - offsets[row], stop - starts, h[anchor[starts]], anchor[starts] - starts, whole))
+    return tuple(np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.uint64 if k in (3, 5) else np.int64) for k in range(6))
 
 
 # --- the enhanced suffix array -------------------------------------------------------------------------------------
@@ -184,12 +193,12 @@ def _scan(common: list[int], left: list[int], length: int, places: list) -> Iter
 # --- the distributed plan ------------------------------------------------------------------------------------------
 
 
-def _ordered(block: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-    """Ids (null: the least), offsets and bytes of a block in order of id and text."""
-    block = block.select(["doc_id", "text"]).combine_chunks()
-    block = block.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-    ids = pc.fill_null(block.column("doc_id").cast(pa.int64()), -(1 << 63)).to_numpy()
-    return ids, *utf8(block.column("text")), block.column("doc_id").combine_chunks()
+def _ordered(block: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Ids (null: the least), ties, offsets and bytes of a block in order of id, tie and text; the ids as given."""
+    names = block.column("doc_id").combine_chunks()
+    block = pa.table({"id": pc.fill_null(names.cast(pa.int64()), -(1 << 63)), "tie": block.column("tie"), "text": block.column("text"), "name": names}).combine_chunks()
+    block = block.sort_by([("id", "ascending"), ("tie", "ascending"), ("text", "ascending")])
+    return block.column("id").to_numpy(), block.column("tie").to_numpy(), *utf8(block.column("text")), block.column("name").combine_chunks()
 
 
 def _bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -202,19 +211,31 @@ def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
 
 HASHES = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
 FOUND = pa.schema([("block", pa.int64()), ("hashes", pa.binary()), ("hot", pa.binary())])
-SENT = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("hashes", pa.binary()), ("places", pa.binary()), ("bytes", pa.binary()), ("ranges", pa.binary())])
+SENT = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("hashes", pa.binary()), ("places", pa.binary()), ("bytes", pa.binary()), ("windows", pa.binary()), ("ranges", pa.binary())])
 RANGES = pa.schema([("block", pa.int64()), ("ranges", pa.binary())])
-PLACE = np.dtype([("doc", "<i8"), ("row", "<i4"), ("start", "<i4"), ("size", "<i4"), ("anchor", "<i4")])
+PLACE = np.dtype([("doc", "<i8"), ("tie", "<i8"), ("row", "<i4"), ("start", "<i4"), ("size", "<i4"), ("anchor", "<i4")])
+WINDOW = np.dtype([("one", "<u8"), ("two", "<u8"), ("doc", "<i8"), ("tie", "<i8"), ("row", "<i4"), ("start", "<i4")])
+COUNT = np.dtype([("all", "u1"), ("kinds", "<i4")])
 RANGE = np.dtype([("row", "<i4"), ("start", "<i4"), ("size", "<i4")])
 
 
 def _send_hashes(length: int, gram: int, buckets: int):
+    """Of each anchor hash of a block: how many segments it has, up to 255, and how many different ones."""
+
     def run(block: pa.Table) -> pa.Table:
-        _, offsets, data, _ = _ordered(block)
-        h, count = np.unique(segments(offsets, data, length, gram)[3], return_counts=True)
+        _, _, offsets, data, _ = _ordered(block)
+        _, _, _, h, _, whole = segments(offsets, data, length, gram)
+        order = np.lexsort((whole, h))
+        h, whole = h[order], whole[order]
+        first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else NONE
+        new = np.append(True, (h[1:] != h[:-1]) | (whole[1:] != whole[:-1])) if len(h) else np.zeros(0, bool)
+        count = np.zeros(len(first), COUNT)
+        count["all"] = np.minimum(np.diff(np.append(first, len(h))), 255)
+        count["kinds"] = np.add.reduceat(new, first, dtype=np.int64) if len(first) else 0
+        h = h[first]
         cut = np.searchsorted(_bucket_of(h, buckets), np.arange(buckets + 1, dtype=np.uint64))
         name = block.column("block")[0].as_py()
-        return _rows(HASHES, [(b, name, h[s:e].tobytes(), np.minimum(count[s:e], 255).astype(np.uint8).tobytes()) for b, (s, e) in enumerate(zip(cut, cut[1:], strict=False)) if e > s])
+        return _rows(HASHES, [(b, name, h[s:e].tobytes(), count[s:e].tobytes()) for b, (s, e) in enumerate(zip(cut, cut[1:], strict=False)) if e > s])
 
     return run
 
@@ -222,11 +243,10 @@ def _send_hashes(length: int, gram: int, buckets: int):
 def _find_twice(rows: pa.Table) -> pa.Table:
     blocks = rows.column("block").to_numpy()
     each = [np.frombuffer(x.as_py(), np.uint64) for x in rows.column("hashes")]
-    counts = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in rows.column("counts")])
+    counts = np.concatenate([np.frombuffer(x.as_py(), COUNT) for x in rows.column("counts")])
     h, owner = np.concatenate(each), np.repeat(np.arange(len(each)), [len(x) for x in each])
     _, back = np.unique(h, return_inverse=True)
-    total = np.bincount(back, counts)[back]
-    keep, hot = total > 1, total > HOT
+    keep, hot = np.bincount(back, counts["all"])[back] > 1, np.bincount(back, counts["kinds"])[back] > HOT
     cuts = np.searchsorted(owner, np.arange(len(each) + 1))
     out = []
     for k, (s, e) in enumerate(zip(cuts, cuts[1:], strict=False)):
@@ -235,24 +255,34 @@ def _find_twice(rows: pa.Table) -> pa.Table:
     return _rows(FOUND, out)
 
 
-def _first_of_equals(data: np.ndarray, at: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """For each string (of data, in order of position) whether it is the first of its equals here."""
-    raw, seen, first = data.tobytes(), set(), np.zeros(len(at), bool)
-    for i, (s, n, k) in enumerate(zip(at.tolist(), size.tolist(), key.tolist(), strict=True)):
-        text = raw[s : s + n]
-        if (k, text) not in seen:
-            seen.add((k, text))
-            first[i] = True
+def _first_of_equals(data: np.ndarray, at: np.ndarray, size: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """For each string (of data, in order of position) whether it is the first of its equals here; whole: its hash."""
+    order = np.lexsort((size, whole))
+    same = (whole[order[1:]] == whole[order[:-1]]) & (size[order[1:]] == size[order[:-1]])
+    first = np.ones(len(at), bool)
+    lead = order[np.maximum.accumulate(np.where(np.append(True, ~same), np.arange(len(order)), 0))] if len(order) else order
+    raw = memoryview(data)
+    for i, k in zip(order[1:][same].tolist(), lead[1:][same].tolist(), strict=True):
+        a, b, n = int(at[i]), int(at[k]), int(size[i])
+        first[i] = raw[a : a + n] != raw[b : b + n]  # of a collision both are sent
+    return first
+
+
+def _first_of_hashes(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """For each window, in order of position, whether it is the first with its two hashes."""
+    order = np.lexsort((two, one))
+    first = np.ones(len(one), bool)
+    first[order[1:]] = (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]])
     return first
 
 
 def _local(offsets: np.ndarray, data: np.ndarray, length: int, gram: int, hashes: np.ndarray) -> tuple[np.ndarray, ...]:
     """Row, start, bytes, hash and anchor of the segments with these hashes, and whether each is the first of its equals."""
-    row, start, windows, h, anchor = segments(offsets, data, length, gram)
+    row, start, windows, h, anchor, whole = segments(offsets, data, length, gram)
     at = np.searchsorted(hashes, h)
     keep = np.flatnonzero((at < len(hashes)) & (hashes[np.minimum(at, len(hashes) - 1)] == h)) if len(hashes) else NONE
-    row, start, size, h = row[keep], start[keep], windows[keep] + length - 1, h[keep]
-    return row, start, size, h, anchor[keep], _first_of_equals(data, offsets[row] + start, size, h)
+    row, start, size, h, anchor, whole = (x[keep] for x in (row, start, windows + length - 1, h, anchor, whole))
+    return row, start, size, h, anchor, _first_of_equals(data, offsets[row] + start, size, whole)
 
 
 def _joined_windows(row: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
@@ -264,46 +294,69 @@ def _joined_windows(row: np.ndarray, start: np.ndarray, length: int) -> np.ndarr
     return out
 
 
+def _hot_windows(offsets: np.ndarray, data: np.ndarray, row: np.ndarray, start: np.ndarray, n: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The windows of these segments, n each: the first of equals (one, two, row, start filled), and the ranges of the others."""
+    out = np.zeros(int(n.sum()), WINDOW)
+    out["row"] = np.repeat(row, n)
+    out["start"] = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(len(out))
+    where = offsets[out["row"]] + out["start"]
+    for lo in range(0, len(data), CHUNK):
+        inside = np.flatnonzero((where >= lo) & (where < lo + CHUNK))
+        if len(inside):
+            for which, name in enumerate(("one", "two")):
+                out[name][inside] = gram_hashes(data[lo : lo + CHUNK + length - 1], length, which)[where[inside] - lo]
+    once = _first_of_hashes(out["one"], out["two"])
+    return out[once], _joined_windows(out["row"][~once], out["start"][~once], length)
+
+
 def _send_segments(length: int, gram: int, buckets: int):
     def run(block: pa.Table, found: pa.Table) -> pa.Table:
         if not found.num_rows or not block.num_rows:
             return _rows(SENT, [])
-        ids, offsets, data, _ = _ordered(block)
+        ids, ties, offsets, data, _ = _ordered(block)
         hashes = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in found.column("hashes")])
         hot = np.concatenate([np.frombuffer(x.as_py(), bool) for x in found.column("hot")])
         order = np.argsort(hashes, kind="stable")
         hashes, hot = hashes[order], hot[order]
         row, start, size, h, anchor, first = _local(offsets, data, length, gram, hashes)
         row, start, size, h, anchor = (x[first] for x in (row, start, size, h, anchor))
-        many, later = hot[np.searchsorted(hashes, h)], b""
-        if many.any():  # one by one, keyed by all their bytes
-            n = size[many] - length + 1
-            r, s = np.repeat(row[many], n), np.repeat(start[many], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            where = offsets[r] + s
-            key = np.zeros(len(r), np.uint64)
-            for lo in range(0, len(data), CHUNK):
-                inside = np.flatnonzero((where >= lo) & (where < lo + CHUNK))
-                if len(inside):
-                    key[inside] = gram_hashes(data[lo : lo + CHUNK + length - 1], length)[where[inside] - lo]
-            once = _first_of_equals(data, where, np.full(len(r), length), key)
-            later = _joined_windows(r[~once], s[~once], length).tobytes()
-            alone = np.zeros(once.sum(), np.int64)
-            row, start, size, h, anchor = (np.concatenate(x) for x in ((row[~many], r[once]), (start[~many], s[once]), (size[~many], alone + length), (h[~many], key[once]), (anchor[~many], alone)))
-        order = np.argsort(h, kind="stable")
+        many = hot[np.searchsorted(hashes, h)]
+        windows, later = _hot_windows(offsets, data, row[many], start[many], size[many] - length + 1, length)
+        windows["doc"], windows["tie"] = ids[windows["row"]], ties[windows["row"]]
+        windows = windows[np.argsort(windows["one"], kind="stable")]
+        order = np.flatnonzero(~many)
+        order = order[np.argsort(h[order], kind="stable")]
         row, start, size, h, anchor = (x[order] for x in (row, start, size, h, anchor))
         place = np.zeros(len(row), PLACE)
-        for name, x in (("doc", ids[row]), ("row", row), ("start", start), ("size", size), ("anchor", anchor)):
+        for name, x in (("doc", ids[row]), ("tie", ties[row]), ("row", row), ("start", start), ("size", size), ("anchor", anchor)):
             place[name] = x
-        raw, where = data.tobytes(), (offsets[row] + start).tolist()
-        cut = np.searchsorted(_bucket_of(h, buckets), np.arange(buckets + 1, dtype=np.uint64))
-        name = block.column("block")[0].as_py()
-        sizes = size.tolist()
-        out = [(b, name, h[s:e].tobytes(), place[s:e].tobytes(), b"".join([raw[where[i] : where[i] + sizes[i]] for i in range(s, e)]), b"") for b, (s, e) in enumerate(zip(cut, cut[1:], strict=False)) if e > s]
-        return _rows(SENT, [*out, (name % buckets, name, b"", b"", b"", later)] if later else out)
+        raw, where, sizes = memoryview(data), (offsets[row] + start).tolist(), size.tolist()
+        every = np.arange(buckets + 1, dtype=np.uint64)
+        cut, cut_windows = np.searchsorted(_bucket_of(h, buckets), every), np.searchsorted(_bucket_of(windows["one"], buckets), every)
+        name, out = block.column("block")[0].as_py(), []
+        for b, (s, e, ws, we) in enumerate(zip(cut, cut[1:], cut_windows, cut_windows[1:], strict=False)):
+            if e > s or we > ws:
+                out.append((b, name, h[s:e].tobytes(), place[s:e].tobytes(), b"".join([raw[where[i] : where[i] + sizes[i]] for i in range(s, e)]), windows[ws:we].tobytes(), b""))
+        return _rows(SENT, [*out, (name % buckets, name, b"", b"", b"", b"", later.tobytes())] if len(later) else out)
 
     return run
 
 
+def _later_windows(rows: pa.Table, length: int) -> Iterator[tuple[int, bytes]]:
+    """(block, ranges) of the hot windows that aren't the earliest of their equals in this bucket."""
+    each = [np.frombuffer(x.as_py(), WINDOW) for x in rows.column("windows")]
+    w, owner = np.concatenate(each), np.repeat(rows.column("block").to_numpy(), [len(x) for x in each])
+    order = np.lexsort((w["start"], w["row"], w["tie"], w["doc"], w["two"], w["one"]))
+    once = np.zeros(len(w), bool)
+    once[order] = _first_of_hashes(w["one"][order], w["two"][order]) if len(w) else False
+    w, owner = w[~once], owner[~once]
+    order = np.lexsort((w["start"], w["row"], owner))
+    w, owner = w[order], owner[order]
+    for block in np.unique(owner):
+        own = w[owner == block]
+        yield int(block), _joined_windows(own["row"], own["start"], length).tobytes()
+
+
 def _find_ranges(length: int, gram: int):
     def run(rows: pa.Table) -> pa.Table:
         blocks = rows.column("block").to_numpy()
@@ -312,8 +365,8 @@ def _find_ranges(length: int, gram: int):
         place, owner = np.concatenate(each), np.repeat(np.arange(len(each)), [len(x) for x in each])
         raw = b"".join(x.as_py() for x in rows.column("bytes"))
         begin = np.cumsum(place["size"]) - place["size"]
-        order = np.lexsort((place["start"], place["row"], place["doc"], h))  # under each hash the earliest first
-        ends = np.append(np.flatnonzero(np.diff(h[order])) + 1, len(h))
+        order = np.lexsort((place["start"], place["row"], place["tie"], place["doc"], h))  # under each hash the earliest first
+        ends = np.append(np.flatnonzero(np.diff(h[order])) + 1, len(h)) if len(h) else NONE
         gone: dict[int, list[list[int]]] = {}  # segment to ranges in it
         pool: list[int] = []
         waiting = 0
@@ -326,10 +379,10 @@ def _find_ranges(length: int, gram: int):
                 first = place["anchor"][flat] - only
                 ok = (first >= 0) & (first <= place["size"][flat] - length)
                 starts = [f[o] for f, o in zip(first[:, None], ok[:, None], strict=True)]
-            own = list(zip(*(place[x][flat].tolist() for x in ("doc", "row", "start")), strict=True))
+            own = list(zip(*(place[x][flat].tolist() for x in ("doc", "tie", "row", "start")), strict=True))
             longest: dict[tuple[int, int], int] = {}
             for size, where in interval_tree(texts, length, starts):
-                keys = [(own[t][0], own[t][1], own[t][2] + s) for t, s in where]
+                keys = [(*own[t][:3], own[t][3] + s) for t, s in where]
                 least = keys.index(min(keys))
                 for k, w in enumerate(where):
                     if k != least and longest.get(w, 0) < size:  # of nested repeats at a place the longest says all
@@ -374,14 +427,14 @@ def _find_ranges(length: int, gram: int):
             out["row"], out["start"], out["size"] = place["row"][cut[:, 0]], place["start"][cut[:, 0]] + cut[:, 1], cut[:, 2]
         by = owner[cut[:, 0]] if len(cut) else NONE
         sent = [(int(b), x.as_py()) for b, x in zip(blocks, rows.column("ranges"), strict=True) if len(x.as_py())]
-        return _rows(RANGES, [*sent, *((int(blocks[k]), out[by == k].tobytes()) for k in np.unique(by))])
+        return _rows(RANGES, [*sent, *_later_windows(rows, length), *((int(blocks[k]), out[by == k].tobytes()) for k in np.unique(by))])
 
     return run
 
 
 def _cut(length: int, gram: int):
     def run(block: pa.Table, found: pa.Table) -> pa.Table:
-        ids, offsets, data, names = _ordered(block)
+        _, _, offsets, data, names = _ordered(block)
         cover = np.zeros(len(data) + 1, np.int32)
         h, count = np.unique(segments(offsets, data, length, gram)[3], return_counts=True)
         row, start, size, _, _, first = _local(offsets, data, length, gram, h[count > 1])
@@ -419,9 +472,9 @@ def cut_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, bl
     if not 1 <= gram <= length:
         raise ValueError("a gram must fit into the length")
     blocks = pieces(documents, block_bytes, 2)
-    buckets = blocks // 2 + 1
+    buckets = blocks
     kind = documents.schema["doc_id"].dataType.simpleString()
-    docs = documents.select(F.expr(f"pmod(xxhash64(doc_id), {blocks}L)").alias("block"), "doc_id", "text")
+    docs = documents.select(F.expr(f"pmod(xxhash64(doc_id, text), {blocks}L)").alias("block"), "doc_id", F.xxhash64("text").alias("tie"), "text")
     hashes = docs.groupBy("block").applyInArrow(_send_hashes(length, gram, buckets), _ddl(HASHES))
     twice = hashes.groupBy("bucket").applyInArrow(_find_twice, _ddl(FOUND))
     sent = docs.groupBy("block").cogroup(twice.groupBy("block")).applyInArrow(_send_segments(length, gram, buckets), _ddl(SENT))
