@@ -119,7 +119,7 @@ def segments(offsets: np.ndarray, data: np.ndarray, length: int = LENGTH, gram:
         row = rows[np.searchsorted(first, starts, "right") - 1]
         stop = np.minimum(np.append(starts[1:], end - at), last[np.searchsorted(first, starts, "right") - 1])
         whole = _mix((total[stop + length - 1] - total[starts]) * down[starts])
-        out.append((row, starts + at - offsets[row], stop - starts, h[anchor[starts]], anchor[starts] - starts, whole))
+        out.append((row, starts + at - offsets[row], stop - starts, _mix(~h[anchor[starts]]), anchor[starts] - starts, whole))  # mixed anew: least hashes crowd near zero
     return tuple(np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.uint64 if k in (3, 5) else np.int64) for k in range(6))
 
 
