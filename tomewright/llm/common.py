@@ -18,13 +18,20 @@ FIT_ROWS = 20_000
 BROADCAST_BYTES = 64 << 20
 
 _own_dir: list[str] = []
+#: Work tables of this process go below one folder, which clear_work removes.
+_session = uuid.uuid4().hex
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; only where that is unset, one of our own."""
+    """The folder all executors share: spark.checkpoint.dir. Where that is unset a local session gets one of its own.
+
+    On a cluster it must be set, as a folder of one machine wouldn't be seen by the others.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not _own_dir:
         folder = tempfile.TemporaryDirectory(prefix="tomewright-")
         atexit.register(folder.cleanup)
@@ -34,11 +41,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 def work_table(df: DataFrame, tag: str) -> DataFrame:
     """Write df once to the shared folder and read it back: lineage ends there, and no executor holds the only copy."""
-    path = f"{shared_dir(df.sparkSession)}/work/{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(df.sparkSession)}/work/{_session}/{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear_work(spark: SparkSession) -> None:
+    """Remove all work tables of this process; results that weren't written before can't be read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/work/{_session}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of df's size; free, as it comes from file sizes."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

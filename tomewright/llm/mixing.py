@@ -8,7 +8,8 @@ random offset of the source is added, and a document is emitted once for each wh
 As neighbours in that order have nearly the same size, the words taken come near the target.
 
 The order is that of size bins, then of hash buckets within them, so that the running sum needs no task to see a
-source: counts by bucket are summed up first, and rows are numbered in their bucket only. Null and empty texts have
+source: counts are summed up over the bins of a source (some hundreds), then over the buckets of a bin, and rows are
+numbered in their bucket only. One task sees one row for each source. Null and empty texts have
 size 0; they count as documents and take no words. A null source is a source. Equal rows are interchangeable: their
 copies as a whole are the same in every run. Empty tables give empty results. Only doc_id, text and source are read,
 and the other columns by mix() only.
@@ -51,32 +52,39 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most:
     return rows.select("source", "source_size", "target", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("rate"))
 
 
-def sampled(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST, seed: int = SEED, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """keep, size, source_size, target, copies of every row."""
-    own = [F.col(c).alias(f"keep_{k}") for k, c in enumerate(keep)]
+def sampled(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST, seed: int = SEED) -> DataFrame:
+    """doc_id, size, source_size, target, copies of every row."""
+    return _sampled(documents, weights, most, seed, ("doc_id",)).select(F.col("kept.keep_0").alias("doc_id"), "size", "source_size", "target", "copies")
+
+
+def _sampled(documents: DataFrame, weights: tuple[float, ...], most: int, seed: int, keep: tuple[str, ...]) -> DataFrame:
+    """kept (a struct of the columns to keep, by number, as their names may be any), size, source_size, target, copies."""
+    own = [F.col(f"`{c}`").alias(f"keep_{k}") for k, c in enumerate(keep)]
     sized = documents.select(F.struct(*own).alias("kept"), "source", word_count(F.col("text")).alias("size"), F.xxhash64("doc_id", "text").alias("h"))
     sized = work_table(sized.withColumn("bin", F.floor(F.log2(F.col("size") + 1) * 64)), "sized")
     totals = work_table(sized.groupBy("source", "bin").agg(F.count("*").alias("n"), F.sum("size").alias("words")), "totals")
     rates = source_targets(totals.groupBy("source").agg(F.sum("words").alias("source_size")), weights, most)
     # each bin is dealt into as many hash buckets as it has BUCKET_ROWS
-    bins = totals.select("source", "bin", F.ceil(F.col("n") / BUCKET_ROWS).alias("parts"))
+    before = lambda value, by: F.coalesce(F.sum(value).over(by.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    bins = totals.select("source", "bin", F.ceil(F.col("n") / BUCKET_ROWS).alias("parts"), before("n", W.partitionBy("source").orderBy("bin")).alias("bins_ahead"))
     same = lambda a, b, *names: [a[x].eqNullSafe(b[x]) for x in names]
     join = lambda a, b, *names: a.join(b, same(a, b, *names), "left").select(a["*"], *[b[x] for x in b.columns if x not in names])
     rows = join(sized, bins, "source", "bin").withColumn("sub", F.pmod("h", "parts")).drop("parts")
-    counts = rows.groupBy("source", "bin", "sub").agg(F.count("*").alias("n"))
-    ahead = F.sum("n").over(W.partitionBy("source").orderBy("bin", "sub").rowsBetween(W.unboundedPreceding, -1))
-    counts = counts.select("source", "bin", "sub", F.coalesce(ahead, F.lit(0)).alias("ahead"))
+    counts = rows.groupBy("source", "bin", "bins_ahead", "sub").agg(F.count("*").alias("n"))
+    ahead = F.col("bins_ahead") + before("n", W.partitionBy("source", "bin").orderBy("sub"))
+    counts = counts.select("source", "bin", "sub", ahead.alias("ahead"))
+    rows = rows.drop("bins_ahead")
     rows = join(join(rows, counts, "source", "bin", "sub"), rates, "source")
     nth = F.col("ahead") + F.row_number().over(W.partitionBy("source", "bin", "sub").orderBy("size", "h", "kept"))
     offset = F.pmod(F.xxhash64("source", F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
     step = lambda n: F.floor(n * F.col("rate") + offset)
     rows = rows.withColumn("nth", nth)
     copies = F.least(step(F.col("nth")) - step(F.col("nth") - 1), F.ceil("rate")).cast("long")
-    return rows.select(*[F.col(f"kept.keep_{k}").alias(c) for k, c in enumerate(keep)], "size", "source_size", "target", copies.alias("copies"))
+    return rows.select("kept", "size", "source_size", "target", copies.alias("copies"))
 
 
 def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST, seed: int = SEED) -> DataFrame:
     """The mixed corpus: every document as often as it is taken, with all its columns."""
     names = tuple(documents.columns)
-    rows = sampled(documents, weights, most, seed, names).select(*[F.col(f"`{c}`") for c in names], "copies").where("copies > 0")
-    return rows.withColumn("copies", F.explode(F.expr("sequence(1L, copies)"))).drop("copies")
+    rows = _sampled(documents, weights, most, seed, names).where("copies > 0").select("kept", F.explode(F.expr("sequence(1L, copies)")))
+    return rows.select(*[F.col(f"kept.keep_{k}").alias(c) for k, c in enumerate(names)])
