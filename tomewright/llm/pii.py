@@ -3,11 +3,12 @@
 The patterns find e-mail addresses, IP addresses, payment cards (Luhn) and phone numbers in their plain forms. A
 linear-chain CRF over word-shape features finds further spellings (phone numbers without a plus, addresses spelled
 with "at" and "dot", cards in other groupings). It is trained from a small labelled table of sentences below and
-decoded by Viterbi over all tokens of each whole text, many texts at once, in numpy. A span of the CRF is added where its digits or parts make it possible and no pattern's span
-overlaps; pattern spans always stay.
+decoded by Viterbi over all tokens of each whole text, many texts at once, in numpy. A span of the CRF is added where
+its digits or parts make it possible and no pattern's span overlaps; pattern spans always stay.
 
 Spans are (kind, start, end) in code points, end exclusive. Null and empty texts have none. Repeated rows are judged
-alike. Only doc_id and text are read, and the other columns by mask() only.
+alike, null ids like others; an empty table gives none. Time grows with a text's length, whatever it holds. Only doc_id
+and text are read, and the other columns by mask() only, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
+LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")  # a match can't begin within a number
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
@@ -43,13 +45,26 @@ def digits_of(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def _emails(text: str) -> Iterator[Span]:
+    """Matches of [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+ from left to right, in time linear in the text.
+
+    All before an @ that can be in a match stands in one run, and another start in it would fail alike.
+    """
+    free = at = 0  # a match may begin here; the text behind the last @
+    while (here := text.find("@", at)) >= 0:
+        run = text[max(free, at) : here]
+        begin = max(free, at) + len(run.rstrip(LOCAL))
+        at = here + 1
+        if begin < here and (m := DOMAIN.match(text, here)):
+            yield "email", begin, m.end()
+            free = m.end()
+
+
 def base_spans(text: str) -> list[Span]:
     """What the patterns find, by kind and start."""
-    out: list[Span] = []
-    if "@" in text:
-        out += [("email", *m.span()) for m in EMAIL.finditer(text)]
+    out: list[Span] = list(_emails(text))
     if DIGIT.search(text):
-        out += [("ip", *m.span()) for m in IP.finditer(text) if all(len(x.lstrip("0")) < 4 and int(x) < 256 for x in m.groups())]
+        out += [("ip", *m.span()) for m in IP.finditer(text) if all(len(x.lstrip("0")) < 4 and int(x[-3:]) < 256 for x in m.groups())]
         out += [("card", *m.span()) for m in CARD.finditer(text) if 16 <= len(d := digits_of(m[0])) <= 19 and luhn(d)]
         out += [("phone", *m.span()) for m in PHONE.finditer(text) if 8 <= len(digits_of(m[0])) <= 15]
     return out
@@ -58,7 +73,7 @@ def base_spans(text: str) -> list[Span]:
 # --- the random field ----------------------------------------------------------------------------------------------
 
 TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\s]")
-CUES = ("at", "dot", "call", "phone", "tel", "fax", "mobile", "card", "visa", "mail", "email", "version", "page", "year", "isbn", "com", "org", "net")
+CUES = ("at", "dot", "call", "phone", "tel", "fax", "mobile", "card", "visa", "mail", "email", "version", "page", "year", "isbn", "com", "org", "net", "edu", "gov", "or", "and")
 MARKS = "()[]-.+@,:;/_#$%"
 #: Word shapes: numbers by length, cue words, other words by length and case, marks.
 SHAPES = ["<edge>", *(f"d{k}" for k in (1, 2, 3, 4, 5, 6, 7)), *CUES, "x", "Xx", "X", "xx", *MARKS, "?"]
@@ -67,6 +82,8 @@ REACH = 2
 #: Tokens that are decoded together, if no single text has more.
 TOGETHER = 1 << 18
 LABELS = ("O", *KINDS)
+#: Code points that an address or number has at most; the longest valid e-mail address has 320.
+LONGEST = 400
 
 
 def shape(token: str) -> int:
@@ -88,6 +105,9 @@ SENTENCES = (
     "write to {email:anna.lee [at] mail [dot] example [dot] com} soon", "mail {email:bob (at) example (dot) org} please", "email {email:info at example dot com} for more",
     "contact {email:j smith_77 [at] corp.example.net} now", "{email:sales (at) shop.example.com} answers", "Mail: {email:kim[at]example.org}",
     "card {card:4111-1111-1111-1111} was charged", "Visa {card:4012 8888 8888 1881} please", "card number {card:3782 822463 10005} exp 04", "the card {card:5555.5555.5555.4444} is new",
+    "Please mail {email:p.smith (at) school (dot) edu} this week", "mail {email:eva (at) lab (dot) org} or {email:leo [at] lab [dot] org}", "email: {email:omar [at] web [dot] com} later",
+    "write to {email:desk (at) city (dot) gov} now", "ask {email:mia.k [at] mail (dot) net} and wait", "contact {email:help (at) corp (dot) com} please", "{email:news [at] paper [dot] net} is read daily",
+    "Call {phone:(404) 555-0133} or {phone:(404) 555-0134} today", "phone {phone:212-555-0170} or {phone:212-555-0171}", "tel {phone:0131 496 0777} and {phone:0131 496 0778}", "dial {phone:(512) 555 0190} , please",
     "host {ip:10.0.0.12} answered", "ping {ip:192.168.1.254} twice", "server {ip:172.16.254.1} is down",
     "In 1999 there were 12 , 500 units sold at 3.50 each .", "See version 2.0 . 1 of the license , page 12 .", "licensed under CC BY-NC 4.0.",
     "It rose by 4.5 % to 1,234,567 in 2021 .", "Chapter 3.2.1 begins at page 104 .", "the result ( 12 ) and ( 34 ) are at the end", "isbn 978-3-16-148410-0 is a book",
@@ -217,20 +237,26 @@ def possible(kind: str, text: str) -> bool:
 
 
 def all_spans(texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
-    """For each text the spans of the patterns, and all spans with those of the field, by kind and start."""
+    """For each text the spans of the patterns, and all spans with those of the field, by kind and start.
+
+    A span of the field that overlaps one of the patterns is left out; those of the field don't overlap each other.
+    """
     base = [base_spans(t) for t in texts]
     more: list[list[Span]] = [[] for _ in texts]
     for i, best in enumerate(viterbi([bytes(map(_shapes.__getitem__, TOKEN.findall(t))) for t in texts])):
         if not any(best):
             continue
-        own, at = list(TOKEN.finditer(texts[i])), 0
+        own, at, near, reach = list(TOKEN.finditer(texts[i])), 0, 0, 0
+        begins = sorted(base[i], key=lambda x: x[1])
         while at < len(own):
             end = at + 1
             while end < len(own) and best[end] == best[at]:
                 end += 1
             if best[at]:
                 s, e = own[at].start(), own[end - 1].end()
-                if possible(LABELS[best[at]], texts[i][s:e]) and all(e <= x[1] or s >= x[2] for x in (*base[i], *more[i])):
+                while near < len(begins) and begins[near][1] < e:  # reach: the furthest end of those that begin before e
+                    reach, near = max(reach, begins[near][2]), near + 1
+                if reach <= s and e - s <= LONGEST and possible(LABELS[best[at]], texts[i][s:e]):
                     more[i].append((LABELS[best[at]], s, e))
             at = end
     order = lambda spans: sorted(spans, key=lambda x: (KINDS.index(x[0]), x[1]))
