@@ -2,10 +2,11 @@
 
 A logistic regression over the presence of every word found in SUPPORT labelled rows or more. Each weight has a ridge
 penalty, the smaller the further the word's share of toxic rows is from the base rate (in standard deviations), and is
-fitted with word dropout, so that one word suffices where it should. For every labelled sentence with an identity term
-a twin is made in which each term is swapped for the next of its list; the squared change of the score between the two
-is penalised, so that a neutral mention of a group, whichever it is, doesn't move the score. Only the number of
-labelled rows is bounded.
+fitted with word dropout, so that one word suffices where it should. For every labelled sentence with identity terms
+twins are made in which each term is swapped for another of its list, until each has taken each place; the squared
+change of the log odds between a sentence and its twins is penalised, so that it doesn't matter which group a sentence
+mentions. A term that is in no labelled sentence has no weight, so that it can't move a score at all. Only the number
+of labelled rows is bounded.
 
 Words are runs of letters, lower-cased; labels, lang, source and doc_id are no inputs. Null and empty texts get the
 score of no words. Without labelled rows of both kinds every score is the smoothed base rate. Repeated rows are
@@ -39,7 +40,9 @@ IDENTITY = (
     ("blind", "deaf", "disabled"),
     ("american", "mexican", "chinese", "african", "european", "indian"),
 )
-SWAP = {term: group[(k + 1) % len(group)] for group in IDENTITY for k, term in enumerate(group)}
+#: Where a term stands: its list, and its number in it.
+TERM = {term: (group, k) for group in IDENTITY for k, term in enumerate(group)}
+SHIFTS = range(1, max(map(len, IDENTITY)))
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[.!?\n]+")
 #: Labelled rows that a word is found in, at least, to get a weight.
@@ -65,7 +68,7 @@ class ToxicModel:
 def fit_weights(found: list[np.ndarray], y: np.ndarray, scale: np.ndarray, swaps: np.ndarray, times: np.ndarray, named: np.ndarray, fairness: float = 10.0, ridge: float = 1.0, drop: float = 0.6, steps: int = 300, seed: int = 3) -> tuple[np.ndarray, float]:
     """Weights and bias. found: the words of each row; scale: what a word's weight is held to, zero being likeliest.
 
-    swaps: rows x(sentence) - x(its twin) over the named words, found so many times, whose squared score change is penalised.
+    swaps: rows x(sentence) - x(its twin) over the named words, found so many times, whose squared change of log odds is penalised.
     """
     rng, n = np.random.default_rng(seed), len(y)
     parts = []  # rows from and to, the row of each word in them, and the word
@@ -101,7 +104,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic",
                 found.append(sorted(words(text)))
                 terms = []
                 for s in SENTENCE.split((text or "").lower()):
-                    if own := SWAP.keys() & set(WORD.findall(s)):
+                    if own := TERM.keys() & set(WORD.findall(s)):
                         terms.append(" ".join(sorted(own)))  # a twin differs in nothing else
                 twins.append(terms)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.string())), pa.array(twins, pa.list_(pa.string()))], ["y", "words", "twins"])
@@ -112,7 +115,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic",
     if not pos or pos == n:
         return base
     counts = rows.select("y", F.explode("words").alias("w")).groupBy("w").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
-    top = counts.where((F.col("a") + F.col("b") >= SUPPORT) | F.col("w").isin(*SWAP)).toPandas().sort_values("w")
+    top = counts.where((F.col("a") + F.col("b") >= SUPPORT) | F.col("w").isin(*TERM)).toPandas().sort_values("w")
     vocabulary = top.w.tolist()  # bounded by the labelled rows, as is all below
     t, rate = (top.a + top.b).to_numpy(), pos / n
     scale = np.abs(top.a.to_numpy() - t * rate) / np.sqrt(t * rate * (1 - rate)) / 3
@@ -129,13 +132,14 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic",
     order = sorted(range(len(y)), key=lambda i: (zlib.crc32(found[i].tobytes()), found[i].tobytes(), y[i]))  # kinds mixed
     twins = sorted(tuple(r) for r in rows.select(F.explode("twins").alias("terms")).groupBy("terms").count().collect())
     place = {w: i for i, w in enumerate(vocabulary)}
-    named = sorted(w for w in SWAP if w in place)
-    swaps = np.zeros((len(twins), len(named)))
+    named = sorted(w for w in TERM if w in place)
+    swaps, times = np.zeros((len(twins) * len(SHIFTS), len(named))), np.repeat(np.array([c for _, c in twins], float), len(SHIFTS))
     for k, (terms, _) in enumerate(twins):
         a = set(terms.split(" "))
-        b = {SWAP[w] for w in a}
-        swaps[k] = [(w in a) - (w in b) for w in named]
-    w, bias = fit_weights([found[i] for i in order], y[order].astype(float), scale, swaps, np.array([c for _, c in twins], float), np.array([place[w] for w in named], int), fairness)
+        for by in SHIFTS:
+            b = {TERM[w][0][(TERM[w][1] + by) % len(TERM[w][0])] for w in a}
+            swaps[k * len(SHIFTS) + by - 1] = [(w in a) - (w in b) for w in named]
+    w, bias = fit_weights([found[i] for i in order], y[order].astype(float), scale, swaps, times, np.array([place[w] for w in named], int), fairness)
     return ToxicModel(float(bias), dict(zip(vocabulary, w.tolist(), strict=True)))
 
 
