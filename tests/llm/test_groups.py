@@ -67,6 +67,26 @@ def test_mixing_repeats_itself_and_emits_copies(docs, odd, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_mixing_emits_what_systematic_sampling_crosses(docs, rows):
+    """Along the order of size bins, buckets and hashes each source's copies are the steps of floor(n * rate + offset)."""
+    got = mixing._sampled(docs, mixing.WEIGHTS, mixing.MOST, mixing.SEED, ("doc_id", "source")).select("kept.*", "copies", "size", "target", "source_size")
+    by = defaultdict(list)
+    for r in got.collect():
+        by[r.keep_1].append(r)
+    for own in by.values():
+        own.sort(key=lambda r: int(np.floor(np.log2(r.size + 1) * 64)))
+        rate = own[0].target / own[0].source_size
+        sums = np.cumsum([r.copies for r in own])
+        assert all(abs(s - (k + 1) * rate) < 1 + 1e-9 for k, s in enumerate(sums) if k + 1 == len(own) or own[k].size != own[k + 1].size)
+
+
+def test_mixing_keeps_columns_of_any_name(spark):
+    names = "doc_id long, text string, source string, size string, copies string, target string, source_size string, kept string, `a.b` string, rate int"
+    df = spark.createDataFrame([(i, "w " * i, "s", "a", "b", "c", "d", "e", "f", 1) for i in range(9)], names)
+    out = mixing.mix(df)
+    assert out.columns == df.columns and {tuple(r)[3:] for r in out.collect()} == {("a", "b", "c", "d", "e", "f", 1)}
+
+
 def test_targets_with_tight_caps(spark):
     size = {"a": 1000, "b": 10, "c": 5, "d": 0, None: 700, "é": 3}
     df = spark.createDataFrame(list(size.items()), "source string, source_size long")
