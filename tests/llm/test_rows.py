@@ -299,17 +299,61 @@ def test_language_on_held_out_rows(spark, none):
     assert {r.lang_pred for r in langid.identify(docs, langid.fit_languages(none)).collect()} == {"und"}
 
 
-def test_kneser_ney_sums_to_one():
-    text = "abracadabra banana"
-    codes, _, _ = langid.encode([text])
-    keys, n = np.unique(langid.grams(codes), return_counts=True)
-    model = langid.estimate(["x"], np.zeros(len(keys), int), keys, n)
-    letters = sorted({ord(c) if c.isalpha() else 32 for c in text})
+def plain_kneser_ney(texts, codes):
+    """log p(last | first three) by the definition, for grams of four codes; codes: how many characters all languages have."""
+    d = langid.DISCOUNT
+    level = {4: Counter()}
+    for t in texts:
+        c = "   " + "".join(x.lower() if x.isalpha() else " " for x in t)
+        level[4].update(c[i : i + 4] for i in range(len(c) - 3))
+    for o in (3, 2, 1):
+        level[o] = Counter(g[1:] for g in level[o + 1])
+
+    def p(g):
+        if not g:
+            return 1 / (codes + 1)
+        own = {x: n for x, n in level[len(g)].items() if x[:-1] == g[:-1]}
+        if not own:
+            return p(g[1:])
+        return (max(own.get(g, 0) - d, 0) + d * len(own) * p(g[1:])) / sum(own.values())
+
+    return lambda g: float(np.log(p(g)))
+
+
+def test_models_equal_kneser_ney_by_definition(spark):
+    texts = {"x": ["abracadabra banana", "a cab 12", "𐌰𐌱 ab"], "y": ["bcd bcd", "éa"], "z": ["q"]}
+    docs = spark.createDataFrame([(i, t, lang) for lang, ts in texts.items() for i, t in enumerate(ts)], "doc_id long, text string, lang string")
+    model = langid.publish(langid.estimate(langid.count_grams(docs)))
+    assert model.langs == ["x", "y", "z"]
+    plain_texts = {lang: [t.replace("𐌰", chr(0xE000)).replace("𐌱", chr(0xE001)) for t in ts] for lang, ts in texts.items()}
+    coded = {lang: [langid.encode([t])[0][3:] for t in ts] for lang, ts in texts.items()}
+    assert len(set(coded["x"][2][:2]) | {32}) == 3 and plain_texts  # far letters are letters
+    kinds = len({int(c) for cs in coded.values() for one in cs for c in one} | {32})
+    rng = random.Random(2)
+    for k, lang in enumerate(("x", "y", "z")):
+        if lang == "x":
+            continue  # has far letters, which the plain version spells otherwise
+        plain = plain_kneser_ney(texts[lang], kinds)
+        grams = ["".join(rng.choice("abcdq é") for _ in range(4)) for _ in range(60)]
+        keys = np.array([sum(ord(c) << (16 * (3 - i)) for i, c in enumerate(g)) for g in grams], np.uint64)
+        assert np.allclose(model.per_char(k, keys), [plain(g) for g in grams], atol=1e-5)
     for context in ("abr", "ana", "zzz"):
         head = sum(ord(c) << (16 * (3 - k)) for k, c in enumerate(context))
-        p = np.exp(model.per_char(np.array([head + c for c in letters], np.uint64))[:, 0].astype(float)).sum()
-        rest = np.exp(model.per_char(np.array([head + 0x2345], np.uint64))[0, 0].astype(float))
-        assert p < 1.0 + 1e-4 and abs(p + rest - 1) < 2e-2
+        every = sorted({int(c) for cs in coded.values() for one in cs for c in one} | {32, 0x2345})
+        assert abs(np.exp(model.per_char(0, np.array([head + c for c in every], np.uint64))).sum() - 1) < 1e-4
+
+
+def test_language_of_odd_rows(spark, odd, docs):
+    """Far letters are letters; null ids are held out; repeated rows and long texts are judged like others; no language goes."""
+    rows = [(i, "the cat and the dog", "en") for i in range(40)] + [(50 + i, "le chat et le chien", "fr") for i in range(40)]
+    rows += [(i, "𐌰𐌱𐌲 𐌳𐌴", "got") for i in range(200, 203)] + [(300, "der hund", "de")]
+    model = langid.fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.langs == ["de", "en", "fr", "got"] or model.langs == ["en", "fr", "got"]  # 300 may be held out
+    ask = [(1, "𐌰𐌱𐌲"), (2, "𠀀"), (3, "the dog " * 100_000), (4, "the dog"), (4, "the dog"), (None, "the dog"), (6, "١٢ !"), (7, "")]
+    got = langid.identify(spark.createDataFrame([(i, t, "n") for i, t in ask], "doc_id long, text string, lang_pred string"), model).collect()
+    assert [r.lang_pred for r in got] == ["got", got[1].lang_pred, "en", "en", "en", "en", "und", "und"] and got[1].lang_pred != "und"
+    assert got[5].held_out and all(0 <= r.score <= 1 for r in got)
+    assert langid.identify(odd, model).count() == odd.count() and langid.identify(docs, model).count() == docs.count()
 
 
 # --- co-training -----------------------------------------------------------------------------------------------------
