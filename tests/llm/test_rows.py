@@ -373,6 +373,43 @@ def test_cotraining(spark, odd, none, no_labels):
     got = by_id(cotrain.score_quality(docs, model))
     assert np.mean([got[i].kept == (i % 5 > 0) for i in got]) > 0.97
     assert cotrain.score_quality(odd, model).count() == odd.count()
+    assert cotrain.score_quality(docs.union(docs).limit(3).selectExpr("doc_id", "repeat('a b ', 200000) as text", "lang", "source"), model).count() == 3
     free = cotrain.fit_quality(none, no_labels)
     assert all(r.kept and r.score == 0.5 for r in cotrain.score_quality(odd, free).collect())
     assert cotrain.score_quality(none, model).count() == 0
+
+
+def test_words_alone_tell_quality_of_held_out_rows(spark):
+    """Low rows differ from good ones in their words only; the evidence of words must find them."""
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(rng.choice([f"w{chr(97 + k)}{chr(97 + j)}" for k in range(20) for j in range(20)], 60)) + (" buy cheap pills" if i % 6 == 0 else " as was said"), "en", f"s{i % 3}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame([(i, int(i % 6 > 0)) for i in range(0, 600) if zlib.crc32(str(i).encode()) % 3], "doc_id long, quality int")
+    model = cotrain.fit_quality(docs, labels)
+    got = by_id(cotrain.score_quality(docs, model))
+    held = [i for i in got if zlib.crc32(str(i).encode()) % 3 == 0]
+    assert np.mean([got[i].kept == (i % 6 > 0) for i in held]) > 0.95
+
+
+def test_taught_counts_equal_plain_counts(spark):
+    rows = [(i, f"a b c{i % 4} " * (1 + i % 3), "en", f"s{i % 2}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    pool = cotrain.with_views(docs, ("doc_id",))
+    table = pool.toArrow()
+    own = cotrain.Rows.of({x: table.column(x) for x in table.column_names})
+    rng = np.random.default_rng(1)
+    views = tuple(cotrain.Logistic(np.zeros(n), np.ones(n), rng.normal(0, 1, n + 1)) for n in (own.view(0, np.zeros(40)).shape[1], own.view(1, np.zeros(40)).shape[1]))
+    model = cotrain.QualityModel(views, (rng.normal(0, 1, cotrain.WORDS), rng.normal(0, 1, cotrain.META)), None, None, 0.0)
+    got = cotrain.taught(pool, model, [3, 4], 0.6)
+    ids = table.column("doc_id").to_pylist()
+    for view in (0, 1):
+        p = 1 / (1 + np.exp(-model.of_view(1 - view, own)))
+        ends, tokens = own.tokens(view)
+        expected = np.zeros_like(got[view])
+        for r in range(40):
+            if ids[r] not in (3, 4) and (p[r] > 0.6 or p[r] < 0.4):
+                k = int(p[r] < 0.4)
+                expected[k, -1] += 1
+                for t in tokens[ends[r] : ends[r + 1]]:
+                    expected[k, t] += 1
+        assert (got[view] == expected).all()

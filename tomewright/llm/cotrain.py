@@ -1,15 +1,21 @@
 """Quality classifier by co-training of a text view and a page-metadata view.
 
-The text view sees rates of a text's content (symbols, repeated lines and three-word windows, capitals, marks, word
-length); the metadata view sees what a page comes with (source, language, length, number and length of lines). Each is
-a logistic regression, fitted on labelled rows. Over some rounds each view labels those unlabelled rows it is sure
-of, and both learn from them with less weight. Then each view is calibrated (Platt) and the calibrated log odds are
-combined, both on labelled rows that neither view was fitted on. A document is rejected under the threshold that
-loses at most `good_lost` of the labelled good rows, and never at a score over one half.
-
-Fitting uses at most `limit` labelled and as many unlabelled rows, chosen by hash. Scores cover every row. Null and
-empty texts have no words and a rate of 0 throughout; null source and lang are values of their own. Without labelled
-rows of both kinds all are kept with score 0.5. Repeated rows are scored alike.
+The text view sees a text's content: the rates of the rule statistics (symbols, repeated lines and three-word windows,
+capitals, marks, word length) and the evidence of its words. The metadata view sees what a page comes with: source,
+language, number of words and lines, length of lines, and the evidence of these. Evidence is the mean log odds of a
+document's tokens, by how many good and low documents have them (words in WORDS hashed places).
+
+Each view is a logistic regression, fitted on labelled rows, whose own tokens are left out of their evidence. Over some
+rounds each view labels all those unlabelled rows of the whole table it is sure of, and the other one's evidence counts
+them too, with less weight. Then each view is calibrated (Platt) and the calibrated log odds are combined, both on
+labelled rows that neither view was fitted on. A document is rejected under the threshold that loses at most
+`good_lost` of those good rows, and never at a score over one half.
+
+At most `limit` labelled rows are fitted on, chosen by hash; labelled rows beyond them count as unlabelled. The exchange
+and the scores cover every row; what the driver gets of them are counts for a fixed number of tokens. Null and empty
+texts have no words and a rate of 0 throughout; null source and lang are values of their own. Without labelled rows of
+both kinds all are kept with score 0.5. Repeated rows are scored alike, null ids like others. An empty table gives no
+rows. Only doc_id, text, source and lang are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -20,30 +26,80 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tomewright.llm.common import FIT_ROWS, labelled
-from tomewright.llm.quality_rules import STATS, calibrate, features, with_stats
+from tomewright.llm.common import FIT_ROWS, labelled, work_table
+from tomewright.llm.quality_rules import LONGS, STATS, calibrate, features, rule_stats
 
-#: Hashed places for source and language names.
-NAMES = 64
+#: Hashed places for words, and for tokens of the metadata.
+WORDS, META = 1 << 16, 1 << 10
+#: Weight of a document that a view has labelled, against a labelled one.
+TAUGHT = 0.3
 
 
-def text_view(stats: np.ndarray) -> np.ndarray:
+def text_view(stats: np.ndarray, evidence: np.ndarray) -> np.ndarray:
     x = features(stats)
     x[:, 0] = np.log1p(x[:, 0])
-    return np.column_stack([x, np.sqrt(x), x**2])
+    return np.column_stack([x, np.sqrt(x), x**2, evidence])
 
 
-def meta_view(stats: np.ndarray, source: list, lang: list) -> np.ndarray:
+def meta_view(stats: np.ndarray, evidence: np.ndarray) -> np.ndarray:
     n, chars, lines = stats[:, 0], stats[:, 1], stats[:, 5]
     size = np.column_stack([np.log1p(n), np.log1p(lines), np.log1p(chars / np.maximum(lines, 1)), n == 0])
-    names = np.zeros((len(stats), 2 * NAMES))
-    for k, column in enumerate((source, lang)):
-        place = [zlib.crc32(("\0" if v is None else f"v{v}").encode()) % NAMES for v in column]
-        names[np.arange(len(stats)), k * NAMES + np.array(place, int).reshape(-1)] = 1
-    return np.column_stack([size, size**2, names])
+    return np.column_stack([size, size**2, evidence])
+
+
+def words_in(text: bytes) -> list[int]:
+    """The places of a text's different words."""
+    return sorted({zlib.crc32(w) % WORDS for w in set(text.lower().split())})
+
+
+def meta_tokens(stats: np.ndarray, source: list, lang: list) -> np.ndarray:
+    """Five places for each row: source, language, and classes of size."""
+    name = lambda kind, v: zlib.crc32(f"{kind}\0{'' if v is None else f'v{v}'}".encode()) % META
+    n, chars, lines = stats[:, 0], stats[:, 1], stats[:, 5]
+    size = [np.floor(2 * np.log2(1 + x)).astype(int) for x in (n, lines, chars / np.maximum(lines, 1))]
+    named = [[name(k, v) for v in column] for k, column in (("source", source), ("lang", lang))]
+    return np.column_stack([*(np.array(x, int).reshape(-1) for x in named), *([name(f"size{k}", int(v)) for v in x] for k, x in enumerate(size))]).astype(int) if len(stats) else np.zeros((0, 5), int)
+
+
+def log_odds(good: np.ndarray, low: np.ndarray, n_good: np.ndarray | float, n_low: np.ndarray | float) -> np.ndarray:
+    """Smoothed so that a token nobody has tells nothing."""
+    n = n_good + n_low
+    return np.log((good + n_good / n) / (n_good + 1)) - np.log((low + n_low / n) / (n_low + 1))
+
+
+def means(ends: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The mean of each run of values; none: 0. ends: n + 1 offsets."""
+    total = np.concatenate([[0.0], np.cumsum(values)])
+    return (total[ends[1:]] - total[ends[:-1]]) / np.maximum(np.diff(ends), 1)
+
+
+@dataclass
+class Rows:
+    """Documents as the views see them: statistics, metadata tokens, and offsets and places of words."""
+
+    stats: np.ndarray
+    meta: np.ndarray
+    ends: np.ndarray
+    words: np.ndarray
+
+    @classmethod
+    def of(cls, columns: dict) -> "Rows":
+        """From Arrow columns source, lang, words and the STATS."""
+        words = columns["words"]
+        words = words.combine_chunks() if isinstance(words, pa.ChunkedArray) else words
+        stats = np.column_stack([columns[x].to_numpy() for x in STATS]) if len(words) else np.zeros((0, len(STATS)), int)
+        ends = np.asarray(words.offsets).astype(np.int64) if len(words) else np.zeros(1, np.int64)
+        return cls(stats, meta_tokens(stats, columns["source"].to_pylist(), columns["lang"].to_pylist()), ends - ends[0], words.flatten().to_numpy() if len(words) else np.zeros(0, int))
+
+    def tokens(self, view: int) -> tuple[np.ndarray, np.ndarray]:
+        return (self.ends, self.words) if view == 0 else (np.arange(len(self.meta) + 1) * self.meta.shape[1], self.meta.ravel())
+
+    def view(self, view: int, evidence: np.ndarray) -> np.ndarray:
+        return (text_view, meta_view)[view](self.stats, evidence)
 
 
 @dataclass
@@ -73,77 +129,131 @@ class Logistic:
 
 @dataclass
 class QualityModel:
-    text: Logistic | None
-    meta: Logistic | None
+    views: tuple[Logistic, Logistic] | None
+    odds: tuple[np.ndarray, np.ndarray] | None
     mix: Logistic | None
     platt: tuple[Logistic, Logistic] | None
     threshold: float
 
-    def scores(self, stats: np.ndarray, source: list, lang: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def of_view(self, view: int, rows: Rows) -> np.ndarray:
+        ends, own = rows.tokens(view)
+        return self.views[view].odds(rows.view(view, means(ends, self.odds[view][own])))
+
+    def scores(self, rows: Rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Combined, text and metadata score (1: good)."""
-        if not self.mix or not len(stats):
-            return (np.full(len(stats), 0.5),) * 3
-        a, b = self.text.odds(text_view(stats)), self.meta.odds(meta_view(stats, source, lang))
-        one = [p.odds(v[:, None]) for p, v in zip(self.platt, (a, b), strict=True)]
+        if not self.mix or not len(rows.stats):
+            return (np.full(len(rows.stats), 0.5),) * 3
+        one = [p.odds(self.of_view(v, rows)[:, None]) for v, p in enumerate(self.platt)]
         sure = lambda z: 1 / (1 + np.exp(-z))
         return sure(self.mix.odds(np.column_stack(one))), sure(one[0]), sure(one[1])
 
 
+def with_views(documents: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """keep, source, lang, the STATS and the places of the words of every row."""
+    own = documents.select(*keep, "source", "lang", "text")
+    names = [*keep, "source", "lang", *STATS, "words"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 1000):
+                part = b.slice(lo, 1000)
+                texts = [(x.as_py() or "").encode() for x in part.column(len(keep) + 2)]
+                cols = np.array([rule_stats(t) for t in texts], np.int64).reshape(-1, len(STATS)).T
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep) + 2], *(pa.array(c) for c in cols), pa.array([words_in(t) for t in texts], pa.list_(pa.int32()))], names)
+
+    kinds = ", ".join(f"`{k}` {own.schema[k].dataType.simpleString()}" for k in names[: len(keep) + 2])
+    return own.mapInArrow(run, f"{kinds}, {LONGS}, words array<int>")
+
+
+def taught(pool: DataFrame, model: QualityModel, known: list, sure: float) -> list[np.ndarray]:
+    """For each view (0: text) the good and low counts by token, the last for all, of rows the other view is sure of.
+
+    known: ids of the labelled rows, which teach nothing more. The counts are summed up by Spark; there are as many as tokens.
+    """
+    spread = pool.sparkSession.sparkContext.broadcast((model, pa.array(known)))
+    size = (WORDS, META)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, ids = spread.value
+        counts = [np.zeros((2, n + 1), np.int64) for n in size]
+        for b in batches:
+            rows = Rows.of(dict(zip(b.schema.names, b.columns, strict=True)))
+            free = ~np.asarray(pc.is_in(b.column(0), value_set=ids.cast(b.column(0).type)))
+            for view in (0, 1):
+                p = 1 / (1 + np.exp(-own.of_view(1 - view, rows)))
+                ends, tokens = rows.tokens(view)
+                for k, on in enumerate((free & (p > sure), free & (p < 1 - sure))):
+                    counts[view][k, -1] += on.sum()
+                    counts[view][k, :-1] += np.bincount(tokens[np.repeat(on, np.diff(ends))], minlength=size[view])
+        for view in (0, 1):
+            at = np.flatnonzero(counts[view].any(0))
+            for lo in range(0, len(at), 10_000):
+                part = at[lo : lo + 10_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), view)), pa.array(part), *(pa.array(c[part]) for c in counts[view])], ["view", "token", "good", "low"])
+
+    sums = pool.mapInArrow(run, "view long, token long, good long, low long").groupBy("view", "token").agg(F.sum("good").alias("good"), F.sum("low").alias("low")).toPandas()
+    out = [np.zeros((2, n + 1)) for n in size]
+    for view in (0, 1):
+        part = sums[sums["view"] == view]
+        out[view][:, part.token.to_numpy()] = part[["good", "low"]].to_numpy().T
+    return out
+
+
 def fit_quality(documents: DataFrame, labels: DataFrame, label: str = "quality", limit: int = FIT_ROWS, rounds: int = 3, sure: float = 0.95, good_lost: float = 0.005) -> QualityModel:
-    """Co-training on a bounded, fixed sample."""
-    extra = ("source", "lang")
-    own = with_stats(labelled(documents, labels, label, limit, learn_all=True, keep=("text", *extra)), ("doc_id", "label", *extra))
-    own = own.toPandas().sort_values(["doc_id", *STATS], ignore_index=True)
-    y = own.label.to_numpy() > 0 if len(own) else np.zeros(0, bool)
+    """Co-training: views fitted on a bounded, fixed sample of labelled rows, taught by all unlabelled ones."""
+    own = with_views(labelled(documents, labels, label, limit, learn_all=True, keep=("text", "source", "lang")), ("doc_id", "label")).toArrow()
+    own = own.sort_by([(x, "ascending") for x in ("doc_id", *STATS, "source", "lang")])
+    y = own.column("label").to_numpy() > 0 if own.num_rows else np.zeros(0, bool)
     if not y.any() or y.all():
         return QualityModel(None, None, None, None, 0.0)
-    known = labels.where(F.col(label).isNotNull()).select("doc_id")
-    ids = documents.select("doc_id").where("doc_id is not null").join(known, "doc_id", "left_anti")
-    ids = ids.groupBy("doc_id").count().select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    pool = with_stats(documents.select("doc_id", "text", *extra).join(F.broadcast(ids), "doc_id"), ("doc_id", *extra)).toPandas().sort_values(["doc_id", *STATS], ignore_index=True)
-    views = lambda d: (text_view(d[list(STATS)].to_numpy()), meta_view(d[list(STATS)].to_numpy(), d.source.tolist(), d.lang.tolist()))
-    lab, free = views(own), views(pool)
-    held = np.array([zlib.crc32(str(i).encode()) % 5 == 0 for i in own.doc_id])  # for calibration
+    rows = Rows.of({x: own.column(x) for x in own.column_names})
+    ids = own.column("doc_id").to_pylist()
+    held = np.array([zlib.crc32(str(i).encode()) % 5 == 0 for i in ids])  # for calibration
     if not y[held].any() or y[held].all() or not y[~held].any() or y[~held].all():
         held[:] = False
     fit = ~held
-    taken: list[dict[int, float]] = [{}, {}]
+    counts = []
+    for view, size in enumerate((WORDS, META)):
+        ends, tokens = rows.tokens(view)
+        row = np.repeat(np.arange(len(y)), np.diff(ends))
+        mine = [np.append(np.bincount(tokens[(fit & on)[row]], minlength=size), (fit & on).sum()).astype(float) for on in (y, ~y)]
+        counts.append(np.array(mine))
+    pool = work_table(with_views(documents, ("doc_id",)), "views")
+    more = [np.zeros_like(c) for c in counts]
     for k in range(rounds + 1):
-        models = []
-        for v in (0, 1):
-            rows = np.array(sorted(taken[v]), int)
-            x = np.concatenate([lab[v][fit], free[v][rows]]) if len(rows) else lab[v][fit]
-            t = np.concatenate([y[fit], [taken[v][i] for i in rows]])
-            weight = np.concatenate([np.ones(fit.sum()), np.full(len(rows), 0.3)])
-            models.append(Logistic.fit(x, t, weight))
-        if k == rounds or not len(pool):
-            break
-        for v in (0, 1):  # what view v is sure of teaches the other one
-            p = 1 / (1 + np.exp(-models[v].odds(free[v])))
-            for i in np.flatnonzero((p > sure) | (p < 1 - sure)):
-                taken[1 - v].setdefault(int(i), float(p[i] > 0.5))
+        views, odds = [], []
+        for view in (0, 1):
+            good, low = counts[view] + TAUGHT * more[view]
+            odds.append(log_odds(good[:-1], low[:-1], good[-1], low[-1]))
+            ends, tokens = rows.tokens(view)
+            row = np.repeat(np.arange(len(y)), np.diff(ends))
+            mine, other = (fit & y)[row], (fit & ~y)[row]  # a row doesn't testify for itself
+            value = log_odds(good[tokens] - mine, low[tokens] - other, good[-1] - mine, low[-1] - other)
+            views.append(Logistic.fit(rows.view(view, means(ends, value))[fit], y[fit], np.ones(fit.sum())))
+        model = QualityModel((views[0], views[1]), (odds[0], odds[1]), None, None, 0.0)
+        if k < rounds:
+            more = taught(pool, model, sorted(set(ids)), sure)
     cal = held if held.any() else np.ones(len(y), bool)
     one = np.ones(cal.sum())
-    odds = [models[v].odds(lab[v]) for v in (0, 1)]
-    platt = tuple(Logistic.fit(o[cal, None], y[cal], one, 1e-3) for o in odds)
-    both = np.column_stack([p.odds(o[:, None]) for p, o in zip(platt, odds, strict=True)])
-    mix = Logistic.fit(both[cal], y[cal], one, 1e-3)
-    score = 1 / (1 + np.exp(-mix.odds(both)))
-    lowest = -calibrate(-score, y, good_lost)
-    return QualityModel(models[0], models[1], mix, platt, min(0.5, lowest))
+    each = [model.of_view(v, rows) for v in (0, 1)]
+    model.platt = tuple(Logistic.fit(o[cal, None], y[cal], one, 1e-3) for o in each)
+    both = np.column_stack([p.odds(o[:, None]) for p, o in zip(model.platt, each, strict=True)])
+    model.mix = Logistic.fit(both[cal], y[cal], one, 1e-3)
+    score = 1 / (1 + np.exp(-model.mix.odds(both[cal])))
+    model.threshold = min(0.5, -calibrate(-score, y[cal], good_lost))
+    return model
 
 
 def score_quality(documents: DataFrame, model: QualityModel) -> DataFrame:
     """(doc_id, score, text_score, meta_score, kept) of every row."""
-    spread = documents.sparkSession.sparkContext.broadcast(model)  # a few hundred numbers
-    stats = with_stats(documents, ("doc_id", "source", "lang"))
-    kind = stats.schema["doc_id"].dataType.simpleString()
+    spread = documents.sparkSession.sparkContext.broadcast(model)  # numbers for a fixed count of tokens
+    views = with_views(documents, ("doc_id",))
+    kind = views.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = spread.value
         for b in batches:
-            s = np.column_stack([b.column(3 + k).to_numpy() for k in range(len(STATS))]) if b.num_rows else np.zeros((0, len(STATS)), int)
-            score, text, meta = m.scores(s, b.column(1).to_pylist(), b.column(2).to_pylist())
+            score, text, meta = m.scores(Rows.of(dict(zip(b.schema.names, b.columns, strict=True))))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score), pa.array(text), pa.array(meta), pa.array(score >= m.threshold)], ["doc_id", "score", "text_score", "meta_score", "kept"])
 
-    return stats.mapInArrow(run, f"doc_id {kind}, score double, text_score double, meta_score double, kept boolean")
+    return views.mapInArrow(run, f"doc_id {kind}, score double, text_score double, meta_score double, kept boolean")
