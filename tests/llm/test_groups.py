@@ -323,6 +323,37 @@ def test_leaks_equal_brute_force(spark, none):
 # --- the pipeline ----------------------------------------------------------------------------------------------------
 
 
+def test_stages_over_odd_rows(spark, odd, none, rows, no_labels):
+    """Null and repeated ids, repeated rows, columns with the stages' own names; decisions are taken row by row."""
+    import corpus_pipeline as p
+
+    bad = rows[6][1]
+    more = spark.createDataFrame([(None, bad, "en", "s0", 1, "x", 1, "y"), (None, "a fine text " * 9, "en", "s0", 1, "x", 1, "y"), (rows[6][0], "another text " * 9, "en", "s0", 1, "x", 1, "y")], odd.schema)
+    docs = odd.union(more).withColumn("rid", F.lit(1)).withColumn("size", F.lit(2)).withColumn("kept", F.lit("k"))
+    bench = spark.createDataFrame([(1, bad)], "item_id long, text string")
+    left = decontaminate.clean(docs, bench)
+    assert left.columns == docs.columns and left.where(F.col("text") == bad).isEmpty()
+    assert left.count() == docs.where(F.col("text").isNull() | (F.col("text") != bad)).count()
+    one = simhash.one_of_each(docs)
+    plain = [(r.doc_id, r.text) for r in docs.collect()]
+    prints = {(d, t): plain_print(t) for d, t in plain if d is not None}
+    names = sorted(prints, key=str)
+    groups = plain_components({k: prints[x] for k, x in enumerate(names)}, 3)
+    least = defaultdict(list)
+    for k, x in enumerate(names):
+        least[groups[k]].append(x[0])
+    got = Counter(r.doc_id for r in one.where("doc_id is not null").collect())
+    assert got == Counter(min(g) for g in least.values()) and one.columns == docs.columns
+    assert one.where("doc_id is null").count() == sum(d is None for d, _ in plain)
+    from tomewright.llm import cotrain, pii
+
+    assert cotrain.keep_quality(docs, cotrain.fit_quality(docs, no_labels)).count() == docs.count()
+    assert pii.mask(docs).columns == docs.columns and mixing.mix(docs).columns == docs.columns
+    empty = none.withColumn("rid", F.lit(1))
+    assert decontaminate.clean(empty, bench).count() == simhash.one_of_each(empty).count() == pii.mask(empty).count() == mixing.mix(empty).count() == 0
+    assert [name for name, _ in p.STAGES] == ["quality_classifier", "simhash_near_dedup", "benchmark_decontamination", "pii", "mixing"]
+
+
 def test_pipeline_stages(spark, sf_dir):
     import corpus_pipeline as p
 

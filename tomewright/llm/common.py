@@ -17,6 +17,9 @@ FIT_ROWS = 20_000
 #: Bytes that any broadcast made here may have; larger data take a shuffled way.
 BROADCAST_BYTES = 64 << 20
 
+#: Rows of a few numbers each that a broadcast may have; as hash tables they take less than 100 MB.
+BROADCAST_ROWS = 1_000_000
+
 _own_dir: list[str] = []
 #: Work tables of this process go below one folder, which clear_work removes.
 _session = uuid.uuid4().hex
@@ -66,6 +69,28 @@ def pieces(df: DataFrame, each: int, factor: int = 1) -> int:
     return max(least, (df.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // each + 1)
 
 
+def row_hash() -> "F.Column":
+    """With the id it tells a row from all others but those of equal id and text."""
+    return F.xxhash64("doc_id", "text")
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs without the rows that gone (doc_id, rid) names by id and row_hash(); a null id is compared like any other.
+
+    gone is written and counted: few rows are broadcast, more are joined by shuffle.
+    """
+    gone = work_table(gone.select("doc_id", "rid").distinct(), "gone")
+    few = gone.count() <= BROADCAST_ROWS
+    names, own = docs.columns, "rid"
+    while own in names:
+        own += "_"
+    gone = gone.toDF("gone_id", "gone_rid")
+    rows = docs.withColumn(own, row_hash())
+    on = (F.col(f"d.{own}") == F.col("g.gone_rid")) & F.col("d.doc_id").eqNullSafe(F.col("g.gone_id"))
+    kept = rows.alias("d").join((F.broadcast(gone) if few else gone).alias("g"), on, "left_anti")
+    return kept.select(*[F.col(f"`{c}`") for c in names])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

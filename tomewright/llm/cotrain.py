@@ -244,6 +244,25 @@ def fit_quality(documents: DataFrame, labels: DataFrame, label: str = "quality",
     return model
 
 
+def keep_quality(documents: DataFrame, model: QualityModel) -> DataFrame:
+    """The rows that the model doesn't reject, with all their columns, whatever their names."""
+    spread = documents.sparkSession.sparkContext.broadcast(model)
+    at = {x: documents.columns.index(x) for x in ("text", "source", "lang")}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = spread.value
+        for b in batches:
+            for lo in range(0, b.num_rows, 1000):
+                part = b.slice(lo, 1000)
+                texts = [(x.as_py() or "").encode() for x in part.column(at["text"])]
+                cols = np.array([rule_stats(t) for t in texts], np.int64).reshape(-1, len(STATS)).T
+                own = {"source": part.column(at["source"]), "lang": part.column(at["lang"]), "words": pa.array([words_in(t) for t in texts], pa.list_(pa.int32()))}
+                score, *_ = m.scores(Rows.of(own | {x: pa.array(c) for x, c in zip(STATS, cols, strict=True)}))
+                yield part.filter(pa.array(score >= m.threshold))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def score_quality(documents: DataFrame, model: QualityModel) -> DataFrame:
     """(doc_id, score, text_score, meta_score, kept) of every row."""
     spread = documents.sparkSession.sparkContext.broadcast(model)  # numbers for a fixed count of tokens

@@ -27,12 +27,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tomewright.llm.common import work_table
+from tomewright.llm.common import BROADCAST_ROWS, row_hash, without_rows, work_table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SHINGLE, SIMILARITY, RADIUS, BLOCKS = 5, 0.8, 23, 8
-#: Rows of a few numbers each that a broadcast may have; as hash tables they take less than 100 MB.
-BROADCAST_ROWS = 1_000_000
 
 
 def words_of(text: str) -> "F.Column":
@@ -90,18 +88,28 @@ def near_prints(prints: DataFrame, index: DataFrame, items: int, radius: int, sa
 
 def leaks(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """(doc_id, item_id, similarity) of every document and item with a window of that similarity; the best of its windows."""
+    return leaking_rows(documents, benchmark, similarity, radius).groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))
+
+
+def clean(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+    """The rows of documents without any item, with all their columns."""
+    return without_rows(documents, leaking_rows(documents, benchmark, similarity, radius))
+
+
+def leaking_rows(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+    """(doc_id, rid, item_id, similarity) by window; rid tells rows of one id apart."""
     items = benchmark.select("item_id", "text").distinct().select("item_id", words_of("text").alias("words")).where("size(words) > 0")
     items = items.withColumn("item", F.xxhash64("item_id", "words")).withColumn("shingle", F.least(F.size("words"), F.lit(SHINGLE)))
     hashes = F.coalesce(*[F.when(F.col("shingle") == k, hashes_of("words", k)) for k in range(1, SHINGLE + 1)])
     items = work_table(items.select("item", "item_id", "shingle", hashes.alias("hashes")).withColumn("m", F.size("hashes")), "items")
     known, kinds, longest = items.agg(F.count("*"), F.collect_set("shingle"), F.max("m")).first()  # three numbers and five shingle sizes at most
     if not known:
-        return documents.select("doc_id").join(benchmark.select("item_id"), F.lit(False)).withColumn("similarity", F.lit(0.0))
+        return documents.select("doc_id", row_hash().alias("rid")).join(benchmark.select("item_id"), F.lit(False)).withColumn("similarity", F.lit(0.0))
     shingles = items.select("item", "shingle", "m", F.explode("hashes").alias("h")).groupBy("item", "shingle", "m", "h").agg(F.count("*").alias("c"))
     shingles = work_table(shingles, "shingles")
     marks = work_table(shingles.select("shingle", "m", "h").distinct(), "marks")
     n_shingles = shingles.count()
-    docs = documents.select("doc_id", F.xxhash64("doc_id", "text").alias("rid"), words_of("text").alias("words"))
+    docs = documents.select("doc_id", row_hash().alias("rid"), words_of("text").alias("words"))
     union = lambda parts: reduce(DataFrame.unionByName, parts)
     # 1. the windows that hold enough marked positions, by the first of them
     hits = union([placed(docs, k).join(fitting(marks.where(F.col("shingle") == k), n_shingles), "h") for k in sorted(kinds)])
@@ -132,4 +140,4 @@ def leaks(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     found = found.join(fitting(shingles.select("item", "h", "c"), n_shingles), ["item", "h"])
     found = found.groupBy("doc_id", *keys, "size", "item").agg(F.sum(F.least("k", "c")).alias("shared"))
     found = found.withColumn("similarity", F.col("shared") / (F.col("size") + F.col("m") - F.col("shared"))).where(F.col("similarity") >= similarity - 1e-12)
-    return found.join(items.select("item", "item_id"), "item").groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))
+    return found.join(items.select("item", "item_id"), "item").select("doc_id", "rid", "item_id", "similarity")

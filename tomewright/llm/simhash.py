@@ -14,7 +14,8 @@ spanning star for each component in it, not its pairs.
 
 Null and empty texts have the fingerprint zero and link like others; a text of fewer words than a shingle is one
 shingle. Repeated rows keep their own rows. A null id never names a group; a group of null ids alone has the
-component null. Only doc_id and text are read.
+component null, though its rows link like others. Only doc_id and text are read, so other columns may have any name.
+An empty table gives no rows; a very long text is one row like others.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tomewright.llm.common import work_table
+from tomewright.llm.common import row_hash, without_rows, work_table
 from tomewright.llm.graph import connected_components
 
 SEED = 42
@@ -74,8 +75,8 @@ def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def with_fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint of every row as a signed long."""
-    own = documents.select("doc_id", "text")
+    """(doc_id, rid, fp): the fingerprint of every row as a signed long; rid tells rows of one id apart."""
+    own = documents.select("doc_id", "text", row_hash().alias("rid"))
     kind = own.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,9 +86,9 @@ def with_fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
                 rows = [shingle_hashes((x.as_py() or "").encode(), shingle) for x in part.column(1)]
                 counts = np.fromiter(map(len, rows), np.int64, len(rows))
                 flat = np.fromiter((h for r in rows for h in r), np.uint64, int(counts.sum()))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(majority(flat, counts).view(np.int64))], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(majority(flat, counts).view(np.int64))], ["doc_id", "rid", "fp"])
 
-    return own.mapInArrow(run, f"doc_id {kind}, fp long")
+    return own.mapInArrow(run, f"doc_id {kind}, rid long, fp long")
 
 
 def key_masks(level: int, radius: int) -> list[int]:
@@ -204,13 +205,34 @@ def near_edges(nodes: DataFrame, radius: int = 3) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """(doc_id, fp, component_id) of every row: the smallest doc_id that can be reached over links, its own included."""
+    """(doc_id, rid, fp, component, component_id) of every row.
+
+    component_id: the smallest doc_id that can be reached over links, its own included; component: the least
+    fingerprint of the group, which differs between groups that share an id.
+    """
     prints = work_table(with_fingerprints(documents, shingle), "fingerprints")
-    nodes = work_table(prints.groupBy("fp").agg(F.min("doc_id").cast("long").alias("node")), "nodes")
-    named = nodes.where("node is not null")
-    groups = connected_components(near_edges(named, radius))
-    roots = named.join(groups, named.node == groups.id, "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(roots, "fp", "left").select("doc_id", "fp", "component_id")
+    nodes = work_table(prints.groupBy("fp").agg(F.min("doc_id").cast("long").alias("least")), "nodes")
+    groups = connected_components(near_edges(nodes.select(F.col("fp").alias("node"), "fp"), radius))
+    roots = nodes.join(groups, nodes.fp == groups.id, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    names = roots.groupBy("component").agg(F.min("least").alias("component_id"))
+    return prints.join(roots.join(names, "component"), "fp").select("doc_id", "rid", "fp", "component", "component_id")
+
+
+def one_of_each(documents: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
+    """Of each group the row with the smallest id, once, with all its columns; rows with a null id all stay.
+
+    Of several texts of a group with that id the one with the least hash stays; of equal rows any.
+    """
+    found = work_table(near_duplicates(documents, shingle, radius).where("doc_id is not null"), "groups")
+    first = found.where("doc_id = component_id").groupBy("component", "doc_id").agg(F.min("rid").alias("rid"), F.count("*").alias("n"))
+    first = work_table(first, "first")
+    gone = found.join(first.select("component", F.col("rid").alias("first")), "component").where("doc_id <> component_id or rid <> first")
+    kept = without_rows(documents, gone)
+    again = first.where("n > 1")  # ids that several rows of a group have
+    if again.isEmpty():
+        return kept
+    once = kept.join(again.select("doc_id"), "doc_id", "left_semi").select(*[F.col(f"`{c}`") for c in documents.columns]).dropDuplicates(["doc_id", "text"])
+    return kept.join(again.select("doc_id"), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns]).unionByName(once)
 
 
 def hex_fingerprint(fp) -> "F.Column":
