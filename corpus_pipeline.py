@@ -1,50 +1,43 @@
-"""A corpus pipeline of five stages, each over all rows its predecessor kept."""
+"""A corpus pipeline of five stages, each over all rows its predecessor kept.
+
+Stages judge rows, not ids: null and repeated ids, null, empty and very long texts and columns of any further name go
+through all of them, and an empty table gives an empty one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tomewright.llm.common import table, work_table
-from tomewright.llm.cotrain import fit_quality, score_quality
-from tomewright.llm.decontaminate import leaks
+from tomewright.llm.cotrain import fit_quality, keep_quality
+from tomewright.llm.decontaminate import clean
 from tomewright.llm.mixing import mix
 from tomewright.llm.pii import mask
-from tomewright.llm.simhash import near_duplicates
-
-
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs without the rows of these ids; a null id is compared like any other."""
-    gone = ids.select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
+from tomewright.llm.simhash import one_of_each
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the co-trained classifier rejects go."""
-    found = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
-    return _without(docs, found.where("not kept"))
+    """Rows that the co-trained classifier rejects go; each is judged by itself, whatever its id."""
+    return keep_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked fingerprints the document with the smallest id stays, once. Rows with a null id stay."""
-    kept = _without(docs, near_duplicates(docs).where("doc_id <> component_id"))
-    repeated = docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null")
-    again = kept.join(repeated.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return _without(kept, repeated).unionByName(again)
+    return one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    return _without(docs, leaks(docs, table(spark, sf_dir, "benchmark")))
+    """Rows that hold a benchmark item go; other rows of their id stay."""
+    return clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data in the texts is replaced by the name of its kind."""
+    """Personal data in the texts is replaced by the name of its kind; null texts stay null."""
     return mask(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sources in their target shares; a document comes as often as it is taken."""
+    """The sources in their target shares; a row comes as often as it is taken, a null source is a source."""
     return mix(docs)
 
 
