@@ -30,11 +30,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tomewright.llm.common import FIT_ROWS, labelled, work_table
+from tomewright.llm.common import FIT_ROWS, labelled, slabs, work_table
 from tomewright.llm.quality_rules import LONGS, STATS, calibrate, features, rule_stats
 
 #: Hashed places for words, and for tokens of the metadata.
 WORDS, META = 1 << 16, 1 << 10
+#: Tokens of labelled rows that are looked at together.
+SLAB = 1 << 18
 #: Weight of a document that a view has labelled, against a labelled one.
 TAUGHT = 0.3
 
@@ -71,6 +73,28 @@ def log_odds(good: np.ndarray, low: np.ndarray, n_good: np.ndarray | float, n_lo
     return np.log((good + n_good / n) / (n_good + 1)) - np.log((low + n_low / n) / (n_low + 1))
 
 
+def own_evidence(rows: "Rows", view: int, counts: np.ndarray, y: np.ndarray, fit: np.ndarray) -> np.ndarray:
+    """The evidence of labelled rows of which the fitted ones are in the counts: a row doesn't testify for itself."""
+    ends, tokens = rows.tokens(view)
+    (good, low), out = counts, np.zeros(len(y))
+    for lo, hi in slabs(np.diff(ends), SLAB):
+        own, n = tokens[ends[lo] : ends[hi]], np.diff(ends[lo : hi + 1])
+        mine, other = (np.repeat((fit & on)[lo:hi], n) for on in (y, ~y))
+        value = log_odds(good[own] - mine, low[own] - other, good[-1] - mine, low[-1] - other)
+        out[lo:hi] = means(ends[lo : hi + 1] - ends[lo], value)
+    return out
+
+
+def own_counts(rows: "Rows", view: int, size: int, on: np.ndarray) -> np.ndarray:
+    """How many of these rows have each token, and how many there are."""
+    ends, tokens = rows.tokens(view)
+    out = np.zeros(size + 1)
+    out[-1] = on.sum()
+    for lo, hi in slabs(np.diff(ends), SLAB):
+        out[:-1] += np.bincount(tokens[ends[lo] : ends[hi]][np.repeat(on[lo:hi], np.diff(ends[lo : hi + 1]))], minlength=size)
+    return out
+
+
 def means(ends: np.ndarray, values: np.ndarray) -> np.ndarray:
     """The mean of each run of values; none: 0. ends: n + 1 offsets."""
     total = np.concatenate([[0.0], np.cumsum(values)])
@@ -93,7 +117,8 @@ class Rows:
         words = words.combine_chunks() if isinstance(words, pa.ChunkedArray) else words
         stats = np.column_stack([columns[x].to_numpy() for x in STATS]) if len(words) else np.zeros((0, len(STATS)), int)
         ends = np.asarray(words.offsets).astype(np.int64) if len(words) else np.zeros(1, np.int64)
-        return cls(stats, meta_tokens(stats, columns["source"].to_pylist(), columns["lang"].to_pylist()), ends - ends[0], words.flatten().to_numpy() if len(words) else np.zeros(0, int))
+        flat = words.flatten().to_numpy().astype(np.uint16) if len(words) else np.zeros(0, np.uint16)
+        return cls(stats, meta_tokens(stats, columns["source"].to_pylist(), columns["lang"].to_pylist()), ends - ends[0], flat)
 
     def tokens(self, view: int) -> tuple[np.ndarray, np.ndarray]:
         return (self.ends, self.words) if view == 0 else (np.arange(len(self.meta) + 1) * self.meta.shape[1], self.meta.ravel())
@@ -202,34 +227,26 @@ def taught(pool: DataFrame, model: QualityModel, known: list, sure: float) -> li
 def fit_quality(documents: DataFrame, labels: DataFrame, label: str = "quality", limit: int = FIT_ROWS, rounds: int = 3, sure: float = 0.95, good_lost: float = 0.005) -> QualityModel:
     """Co-training: views fitted on a bounded, fixed sample of labelled rows, taught by all unlabelled ones."""
     own = with_views(labelled(documents, labels, label, limit, learn_all=True, keep=("text", "source", "lang")), ("doc_id", "label")).toArrow()
-    own = own.sort_by([(x, "ascending") for x in ("doc_id", *STATS, "source", "lang")])
+    own = own.sort_by([(x, "ascending") for x in ("doc_id", *STATS, "source", "lang")]).combine_chunks()
     y = own.column("label").to_numpy() > 0 if own.num_rows else np.zeros(0, bool)
     if not y.any() or y.all():
         return QualityModel(None, None, None, None, 0.0)
     rows = Rows.of({x: own.column(x) for x in own.column_names})
     ids = own.column("doc_id").to_pylist()
+    del own
     held = np.array([zlib.crc32(str(i).encode()) % 5 == 0 for i in ids])  # for calibration
     if not y[held].any() or y[held].all() or not y[~held].any() or y[~held].all():
         held[:] = False
     fit = ~held
-    counts = []
-    for view, size in enumerate((WORDS, META)):
-        ends, tokens = rows.tokens(view)
-        row = np.repeat(np.arange(len(y)), np.diff(ends))
-        mine = [np.append(np.bincount(tokens[(fit & on)[row]], minlength=size), (fit & on).sum()).astype(float) for on in (y, ~y)]
-        counts.append(np.array(mine))
+    counts = [np.array([own_counts(rows, view, size, fit & on) for on in (y, ~y)]) for view, size in enumerate((WORDS, META))]
     pool = work_table(with_views(documents, ("doc_id",)), "views")
     more = [np.zeros_like(c) for c in counts]
     for k in range(rounds + 1):
         views, odds = [], []
         for view in (0, 1):
-            good, low = counts[view] + TAUGHT * more[view]
-            odds.append(log_odds(good[:-1], low[:-1], good[-1], low[-1]))
-            ends, tokens = rows.tokens(view)
-            row = np.repeat(np.arange(len(y)), np.diff(ends))
-            mine, other = (fit & y)[row], (fit & ~y)[row]  # a row doesn't testify for itself
-            value = log_odds(good[tokens] - mine, low[tokens] - other, good[-1] - mine, low[-1] - other)
-            views.append(Logistic.fit(rows.view(view, means(ends, value))[fit], y[fit], np.ones(fit.sum())))
+            every = counts[view] + TAUGHT * more[view]
+            odds.append(log_odds(every[0, :-1], every[1, :-1], every[0, -1], every[1, -1]))
+            views.append(Logistic.fit(rows.view(view, own_evidence(rows, view, every, y, fit))[fit], y[fit], np.ones(fit.sum())))
         model = QualityModel((views[0], views[1]), (odds[0], odds[1]), None, None, 0.0)
         if k < rounds:
             more = taught(pool, model, sorted(set(ids)), sure)

@@ -79,8 +79,8 @@ MARKS = "()[]-.+@,:;/_#$%"
 SHAPES = ["<edge>", *(f"d{k}" for k in (1, 2, 3, 4, 5, 6, 7)), *CUES, "x", "Xx", "X", "xx", *MARKS, "?"]
 PLACE = {s: i for i, s in enumerate(SHAPES)}
 REACH = 2
-#: Tokens that are decoded together, if no single text has more.
-TOGETHER = 1 << 18
+#: Tokens that are decoded together, if no single text has more, and rows that are judged together.
+TOGETHER, ROWS = 1 << 17, 400
 LABELS = ("O", *KINDS)
 #: Code points that an address or number has at most; the longest valid e-mail address has 320.
 LONGEST = 400
@@ -274,8 +274,8 @@ def find_pii(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo in range(0, b.num_rows, 1000):
-                part = b.slice(lo, 1000)
+            for lo in range(0, b.num_rows, ROWS):
+                part = b.slice(lo, ROWS)
                 found = all_spans([t or "" for t in part.column(1).to_pylist()])
                 counts = [pa.array([sum(x[0] == k for x in f[0]) for f in found], pa.int64()) for k in KINDS]
                 sha = pa.array([hashlib.sha256(joined(f[0]).encode()).hexdigest() for f in found], pa.string())
@@ -303,10 +303,12 @@ def mask(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(at).to_pylist()
-            found = all_spans([t or "" for t in texts])
-            new = [None if t is None else masked(t, f[1]) for t, f in zip(texts, found, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if k == at else c for k, c in enumerate(b.columns)], names)
+            for lo in range(0, b.num_rows, ROWS):
+                part = b.slice(lo, ROWS)
+                texts = part.column(at).to_pylist()
+                found = all_spans([t or "" for t in texts])
+                new = [None if t is None else masked(t, f[1]) for t, f in zip(texts, found, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if k == at else c for k, c in enumerate(part.columns)], names)
 
     out = documents.mapInArrow(run, schema)
     return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in names else out
