@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tomewright.operators.dedupe import best_by
@@ -27,6 +28,25 @@ def same_group_alternate(df: DataFrame, key: str, group: list[str], cost: Column
     return best_by(pairs, [key], order)
 
 
+def nearest_alternate(df: DataFrame, key: str, group: list[str], value: str) -> DataFrame:
+    """key, alternate and cost: for each row the other row of its group with the nearest value, of equals the least key.
+
+    Rows are brought to one for each value of a group, with its two least keys, and compared with the values beside it:
+    no pairs are formed.
+    """
+    values = df.groupBy(*group, value).agg(F.min(key).alias("least"))
+    second = df.join(values, [*group, value]).where(F.col(key) != F.col("least")).groupBy(*group, value).agg(F.min(key).alias("second"))
+    by = W.partitionBy(*group).orderBy(value)
+    near = values.join(second, [*group, value], "left")
+    for name, beside in (("below", F.lag), ("above", F.lead)):
+        near = near.withColumn(name, beside(F.struct(F.col(value).alias("at"), F.col("least").alias("key"))).over(by))
+    rows = df.select(key, *group, value).join(near, [*group, value])
+    same = F.when(F.col(key) == F.col("least"), F.col("second")).otherwise(F.col("least"))
+    offer = lambda at, k: F.when(k.isNotNull(), F.struct(F.abs(F.col(value) - at).alias("cost"), k.alias("alternate")))
+    best = F.array_min(F.array_compact(F.array(offer(F.col(value), same), *[offer(F.col(f"{n}.at"), F.col(f"{n}.key")) for n in ("below", "above")])))
+    return rows.withColumn("best", best).where("best IS NOT NULL").select(key, "best.alternate", "best.cost")
+
+
 def unique_match(left: DataFrame, right: DataFrame, keys: list[str], value: str) -> DataFrame:
     """left with the value of its match in right, only where exactly one row matches; and how many do."""
     once = right.groupBy(*keys).agg(F.count("*").alias("matches"), F.min(value).alias(value))

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tomewright.sources.work import step_table
+
 
 def levels_to_parents(df: DataFrame, group: str, order: str, level: str, clamp: bool = False) -> DataFrame:
     """group, order, level (from 1), parent (an order value) and order_index among siblings.
@@ -42,29 +44,37 @@ def root_descendants(df: DataFrame, group: str, order: str, is_root) -> DataFram
     return roots.select(group, order, (F.coalesce(after, F.col("__n") + 1) - F.col("__p") - 1).alias("descendants"))
 
 
-def tree_paths(df: DataFrame, id_: str, parent: str, label: str, sep: str = " > ", levels: int = 1000) -> DataFrame:
-    """id, depth and path of titles from the root, for all rows a root leads to: a recursive plan, one join a level."""
-    view = "__tree_paths_input"
-    df.select(F.col(id_).alias("id"), F.col(parent).alias("parent"), F.col(label).cast("string").alias("label")).createOrReplaceTempView(view)
-    return df.sparkSession.sql(f"""
-        WITH RECURSIVE t(id, depth, path) MAX RECURSION LEVEL {levels} AS (
-            SELECT id, 1, label FROM {view} WHERE parent IS NULL
-            UNION ALL
-            SELECT c.id, t.depth + 1, concat(t.path, '{sep}', c.label) FROM t JOIN {view} c ON c.parent = t.id)
-        SELECT id AS {id_}, depth, path FROM t""")
+def tree_paths(df: DataFrame, id_: str, parent: str, label: str, sep: str = " > ") -> DataFrame:
+    """id, depth and path of titles from the root, for all rows a root leads to.
+
+    Each row knows the titles from below some ancestor down to itself; a step puts that ancestor's own stretch before
+    them, which doubles it. So the steps grow with the log of the depth, each is a written table, and no row is held by
+    more than its own path. Rows below a missing parent or on a cycle have no root and are left out.
+    """
+    rows = df.select(F.col(id_).alias("id"), F.col(parent).alias("up"), F.lit(1).alias("depth"), F.col(label).cast("string").alias("path"))
+    now = step_table(rows)
+    open_, most = now.where("up IS NOT NULL").count(), now.count()
+    for _ in range(most.bit_length() + 1):
+        if not open_:
+            break
+        above = now.select(F.col("id").alias("a_id"), F.col("up").alias("a_up"), F.col("depth").alias("a_depth"), F.col("path").alias("a_path"))
+        moved = now.where("up IS NOT NULL").join(above, F.col("up") == F.col("a_id"))
+        moved = moved.select("id", F.col("a_up").alias("up"), (F.col("depth") + F.col("a_depth")).alias("depth"), F.concat("a_path", F.lit(sep), "path").alias("path"))
+        now = step_table(now.where("up IS NULL").unionByName(moved))
+        open_ = now.where("up IS NOT NULL").count()
+    return now.where("up IS NULL").select(F.col("id").alias(id_), "depth", "path")
 
 
-def parent_cycles(df: DataFrame, id_: str, parent: str, doublings: int = 40) -> DataFrame:
-    """Ids on a cycle of parent links, by pointer doubling: the log of the longest path in joins, no recursion by level.
+def parent_cycles(df: DataFrame, id_: str, parent: str) -> DataFrame:
+    """Ids on a cycle of parent links, by pointer doubling.
 
-    After n doublings each id points 2^n steps up, or nowhere if its path ended. Ids that still point somewhere after
-    more steps than there are rows lead into a cycle; those that some of them point to stand on it.
+    After n steps each id points 2^n links up, or nowhere if its path ended. The ids pointed to become fewer from step to
+    step; once their number stays, links are one to one among them, so they are those on cycles. Steps grow with the
+    log of the longest path that leads into a cycle or ends, and each is a written table.
     """
-    links = df.where(F.col(parent).isNotNull()).select(F.col(id_).alias("id"), F.col(parent).alias("up")).distinct()
-    steps, rows = 0, links.count()
-    now = links
-    while rows >> steps and steps < doublings:
-        hop = now.select(F.col("id").alias("up"), F.col("up").alias("next"))
-        now = now.join(hop, "up").select("id", F.col("next").alias("up"))
-        steps += 1
+    now = step_table(df.where(F.col(parent).isNotNull()).select(F.col(id_).alias("id"), F.col(parent).alias("up")).distinct())
+    left = -1
+    while (found := now.select("up").distinct().count()) not in (0, left):
+        left = found
+        now = step_table(now.join(now.select(F.col("id").alias("up"), F.col("up").alias("next")), "up").select("id", F.col("next").alias("up")))
     return now.select(F.col("up").alias(id_)).distinct()

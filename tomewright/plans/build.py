@@ -16,6 +16,10 @@ from tomewright.sources.canonical import Dataset
 from tomewright.sources.schemas import TABLES
 
 
+#: Pairs of provider and topic in one build; each is a plan of its own.
+MOST_PAIRS = 10_000
+
+
 class DatasetError(ValueError):
     """A dataset that breaks its contract."""
 
@@ -60,7 +64,9 @@ def build(spark: SparkSession, folder: str, topics: dict[str, Topic], limit: int
     rows = raw.read_raw(spark, folder)
     if latest:
         rows = rows.join(raw.latest_artifacts(rows).select("path"), "path", "left_semi")
-    pairs = [(r.provider, r.topic) for r in rows.select("provider", "topic").distinct().limit(10_000).collect()]
+    pairs = [(r.provider, r.topic) for r in rows.select("provider", "topic").distinct().limit(MOST_PAIRS + 1).collect()]
+    if len(pairs) > MOST_PAIRS:
+        raise DatasetError(f"more than {MOST_PAIRS} pairs of provider and topic")
     out = []
     for provider, slug in sorted(pairs):
         if provider in NORMALIZERS and slug in topics:

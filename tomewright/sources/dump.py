@@ -28,8 +28,11 @@ def read_dump(spark: SparkSession, path: str, expected: str, needles: list[str]
     needles: only lines with one of these identifiers are parsed at all.
     """
     lines = spark.read.text(path)
-    if partitions:
-        lines = lines.repartition(partitions)
+    return parse_dump(lines.repartition(partitions) if partitions else lines, expected, needles)
+
+
+def parse_dump(lines: DataFrame, expected: str, needles: list[str] | None = None) -> DataFrame:
+    """(key, revision, record) of lines (value); a malformed one is an error when it is read."""
     if needles:
         lines = lines.where(F.col("value").rlike("|".join(candidate_pattern(n) for n in needles)))
     c = F.split("value", "\t", 5)
@@ -113,23 +116,30 @@ def usable(toc: Column) -> Column:
 
 
 def resolve(index: str, targets: DataFrame) -> DataFrame:
+    """(isbn, tier, edition_key, target_edition, toc) for every target at once, from an index on disk."""
+    spark = targets.sparkSession
+    return resolve_tables(spark.read.parquet(f"{index}/editions"), spark.read.parquet(f"{index}/isbns"), targets)
+
+
+def resolve_tables(full: DataFrame, by_isbn: DataFrame, targets: DataFrame) -> DataFrame:
     """(isbn, tier, edition_key, target_edition, toc) for every target at once.
 
-    Exact editions first: the longest usable outline, then the key. Else another edition of the first exact edition's
-    work: the same title and volume, not a supplement, authors and languages that overlap where both are known; by
-    language, author, distance of years, length of outline, key.
+    Supplements count for nothing. The target edition is the exact edition with the least key. An exact edition with a
+    usable outline gives it: the longest, then the least key. Without one it is another edition of the target
+    edition's work: the same title and volume, authors and languages that overlap where both are known; by language,
+    author, distance of years, length of outline, key.
     """
-    spark = targets.sparkSession
-    full = spark.read.parquet(f"{index}/editions")
     text = F.concat_ws(" ", "title", "subtitle")
     full = full.withColumn("title_key", X.bibliographic_key(F.col("title"))).withColumn("volume", X.volume_number(X.bibliographic_key(text)))
     full = full.withColumn("extra", is_supplement(X.bibliographic_key(F.concat_ws(" ", "title", "subtitle", F.array_join("source_records", " "))), SUPPLEMENTS))
-    exact = targets.select("isbn").distinct().join(spark.read.parquet(f"{index}/isbns"), "isbn").select("isbn", "edition_key").distinct().join(full, "edition_key")
+    full = full.where(~F.col("extra"))
+    exact = targets.select("isbn").distinct().join(by_isbn, "isbn").select("isbn", "edition_key").distinct().join(full, "edition_key")
     pick = lambda df, *order: df.withColumn("__n", F.row_number().over(W.partitionBy("isbn").orderBy(*order))).where("__n = 1").drop("__n")
-    direct = pick(exact.where(usable(F.col("toc")) & ~F.col("extra")), -F.size("toc"), F.col("edition_key")).select("isbn", F.lit("exact_edition_toc").alias("tier"), "edition_key", F.col("edition_key").alias("target_edition"), "toc")
-    base = pick(exact, -F.size("toc"), F.col("edition_key")).join(direct.select("isbn"), "isbn", "left_anti").where("work_key is not null")
+    first = exact.groupBy("isbn").agg(F.min("edition_key").alias("target_edition"))
+    direct = pick(exact.where(usable(F.col("toc"))), -F.size("toc"), F.col("edition_key")).join(first, "isbn").select("isbn", F.lit("exact_edition_toc").alias("tier"), "edition_key", "target_edition", "toc")
+    base = pick(exact, F.col("edition_key")).join(direct.select("isbn"), "isbn", "left_anti").where("work_key is not null")
     t = base.select("isbn", "work_key", *[F.col(c).alias(f"t_{c}") for c in ("edition_key", "title_key", "volume", "authors", "languages", "year")])
-    other = t.join(full, "work_key").where((F.col("edition_key") != F.col("t_edition_key")) & (F.col("title_key") == F.col("t_title_key")) & ~F.col("extra") & usable(F.col("toc")))
+    other = t.join(full, "work_key").where((F.col("edition_key") != F.col("t_edition_key")) & (F.col("title_key") == F.col("t_title_key")) & usable(F.col("toc")))
     overlap = lambda a, b: (F.size(a) == 0) | (F.size(b) == 0) | F.arrays_overlap(a, b)
     other = other.where(F.coalesce(F.col("volume") == F.col("t_volume"), F.lit(True)) & overlap("authors", "t_authors") & overlap("languages", "t_languages"))
     order = [~F.arrays_overlap("languages", "t_languages"), ~F.arrays_overlap("authors", "t_authors"), F.coalesce(F.abs(F.col("year") - F.col("t_year")), F.lit(9999)), -F.size("toc"), F.col("edition_key")]
