@@ -146,3 +146,18 @@ def resolve_tables(full: DataFrame, by_isbn: DataFrame, targets: DataFrame) -> D
     alternate = pick(other, *order).select("isbn", F.lit("same_work_alternate_edition_toc").alias("tier"), "edition_key", F.col("t_edition_key").alias("target_edition"), "toc")
     found = direct.unionByName(alternate)
     return targets.select("isbn").distinct().join(found, "isbn", "left").withColumn("tier", F.coalesce("tier", F.lit("none")))
+
+
+def inspect_tables(full: DataFrame, by_isbn: DataFrame, targets: DataFrame) -> DataFrame:
+    """For each target that has an edition: exact editions and alternates of the target edition's work, all and with a usable outline.
+
+    Supplements count for nothing. An alternate is an edition of the same work that doesn't have the ISBN itself.
+    """
+    extra = is_supplement(X.bibliographic_key(F.concat_ws(" ", "title", "subtitle", F.array_join("source_records", " "))), SUPPLEMENTS)
+    full = full.where(~extra).select("edition_key", "work_key", usable(F.col("toc")).alias("usable"))
+    own = targets.select("isbn").distinct().join(by_isbn, "isbn").select("isbn", "edition_key").distinct().join(full, "edition_key")
+    exact = own.groupBy("isbn").agg(F.count("*").alias("exact_editions"), F.count_if("usable").alias("exact_with_outline"), F.min_by("work_key", "edition_key").alias("work_key"))
+    works = exact.select("isbn", "work_key").join(full, "work_key").join(own.select("isbn", "edition_key"), ["isbn", "edition_key"], "left_anti")
+    other = works.groupBy("isbn").agg(F.count("*").alias("alternates"), F.count_if("usable").alias("alternates_with_outline"))
+    none = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return exact.join(other, "isbn", "left").select("isbn", "exact_editions", "exact_with_outline", none("alternates"), none("alternates_with_outline"))
