@@ -1,11 +1,12 @@
 """Outlines and identity of reviewed pages, and lookups by ISBN, on invented pages."""
 
+import hashlib
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from tomewright.operators.outlines import contents_levels
+from tomewright.operators.outlines import contents_levels, placed_entries, store_entries, store_outline
 from tomewright.plans import api_toc, pages
 from tomewright.sources import dom
 from tomewright.sources.page_outlines import FOOTER, read_outline
@@ -154,3 +155,31 @@ def test_registry_files(spark, tmp_path):
     (tmp_path / "other.json").write_text(json.dumps(SPEC))
     with pytest.raises(Exception, match="named by its slug"):
         pages.load_registry(spark, f"file://{tmp_path}").collect()
+
+
+def tree_of(blob):
+    rows = store_entries(blob)
+    return [(level, label, title, rows[up][3] if up is not None else None) for _, level, label, title, up in rows]
+
+
+def test_bookstore_outlines_make_no_level_the_text_does_not_have():
+    first = "<b>Chapter 01 시작</B>\r\n\r\n01-1 이유\t\r\n__해결\t\r\n[확인]\r\n01-2 그림\r\n<B>Chapter 02 자료</B>\r\n"
+    assert tree_of(first) == [(1, None, "Chapter 01 시작", None), (2, "01-1", "이유", "Chapter 01 시작"), (3, None, "해결", "이유"), (1, None, "확인", None), (2, "01-2", "그림", "Chapter 01 시작"), (1, None, "Chapter 02 자료", None)]
+    second = "<b>PART 01 컴퓨터</b>\r\nCHAPTER 01 개요\r\n01 개념\r\n1.2 유형\r\n1.2.1 일괄\r\n제2장 과정\r\n\t1. 뜻\r\n"
+    assert tree_of(second) == [
+        (1, "01", "컴퓨터", None), (2, None, "CHAPTER 01 개요", "컴퓨터"), (3, "01", "개념", "CHAPTER 01 개요"), (3, "1.2", "유형", "CHAPTER 01 개요"), (4, "1.2.1", "일괄", "유형"),
+        (2, None, "제2장 과정", "컴퓨터"), (3, "1", "뜻", "제2장 과정"),
+    ]
+    assert tree_of("<b>PART 1 주제</b>\r\n01 독해<br/>02 관계\r\n") == [(1, "1", "주제", None), (2, "01", "독해", "주제"), (2, "02", "관계", "주제")]
+    assert tree_of("1장 벡터\r\n1.1 내적\r\n1장에 대한 말\r\n1.2 각\r\n[부록]\r\n1.3 남은 것\r\n『책』\r\n") == [
+        (1, None, "1장 벡터", None), (2, "1.1", "내적", "1장 벡터"), (1, None, "1장에 대한 말", None), (2, "1.2", "각", "1장 벡터"), (1, None, "부록", None), (1, "1.3", "남은 것", None),
+    ]
+    assert tree_of("PART 0. 기초\r\n\t0-1. 집합\r\n\t0-2. 연산\r\n") == [(1, "0", "기초", None), (2, "0-1", "집합", "기초"), (2, "0-2", "연산", "기초")]
+    assert tree_of(None) == tree_of("  \n") == []
+
+
+def test_bookstore_ids_come_from_place_and_title(spark):
+    rows = spark.createDataFrame([("b", "s", "1장 벡터\n요약\n2장 행렬\n요약\n")], "book string, source string, blob string").withColumn("entries", store_outline(F.col("blob")))
+    got = placed_entries(rows, "book", "source", "entries").orderBy("order_index").collect()
+    want = ["toc_" + hashlib.sha256("\x1f".join(("b", "s", str(k), t)).encode()).hexdigest()[:20] for k, t in enumerate(("1장 벡터", "요약", "2장 행렬", "요약"))]
+    assert [r.toc_entry_id for r in got] == want and [r.order_index for r in got] == [0, 1, 2, 3] and len(set(want)) == 4

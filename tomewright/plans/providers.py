@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from tomewright.functions import identity as I
 from tomewright.functions import text as X
 from tomewright.operators.decisions import accepted, relevance
-from tomewright.operators.outlines import outline_entries, parse_outline
+from tomewright.operators.outlines import outline_entries, placed_entries, store_outline
 from tomewright.sources.canonical import Dataset
 from tomewright.sources.dump import outline
 from tomewright.sources.schemas import TABLES
@@ -202,7 +202,7 @@ def yes24(responses: DataFrame, topic: Topic, limit: int) -> tuple[Dataset, Data
         "response_id", "topic", "retrieved_at", "pos", "item", F.when(F.schema_of_variant(get(v, "$.itemId", "variant")) != "BOOLEAN", get(v, "$.itemId")).alias("external_id"), F.trim(get(v, "$.title")).alias("title"), F.lit(None).cast("string").alias("subtitle"), F.lit("ko").alias("language"),
         F.split(F.trim(F.coalesce(get(v, "$.author"), F.lit(""))), r"\s*,\s*").alias("authors"), i10.alias("isbn_10"), i13.alias("isbn_13"), F.trim(get(v, "$.publisher")).alias("publisher"), F.substring(get(v, "$.publishDate"), 1, 4).try_cast("int").alias("published_year"),
         F.coalesce(get(v, "$.link"), F.concat(F.lit("https://www.yes24.com/product/goods/"), get(v, "$.itemId"))).alias("url"), descriptions(description=text_of(v, "$.contentDetail.bookIntroduction")).alias("descriptions"),
-        get(v, "$.goodsSortNm").alias("category"), parse_outline(get(v, "$.contentDetail.tableOfContents"), "ranked").alias("entries"),
+        get(v, "$.goodsSortNm").alias("category"), store_outline(get(v, "$.contentDetail.tableOfContents")).alias("entries"),
     )
     rows = rows.withColumn("isbn_10", F.when(F.col("isbn_13").isNull() | I.isbn10_matches_13(F.col("isbn_10"), F.col("isbn_13")), F.col("isbn_10")))
     ok = (F.length("external_id") > 0) & F.col("title").rlike(f"(?i){topic.pattern}") & F.coalesce("isbn_13", "isbn_10").isNotNull()
@@ -211,7 +211,7 @@ def yes24(responses: DataFrame, topic: Topic, limit: int) -> tuple[Dataset, Data
     if topic.category:
         ok = ok & F.col("category").rlike(topic.category)
     settled = settle(identified(rows.withColumn("reason", F.when(~F.coalesce(ok, F.lit(False)), "ineligible_candidate")), "yes24", topic.discovery), limit)
-    toc = outline_entries(settled.where("reason IS NULL"), "book_id", "source_id", "entries")
+    toc = placed_entries(settled.where("reason IS NULL"), "book_id", "source_id", "entries")
     return canonical(settled, "yes24", topic, toc), settled
 
 
@@ -223,7 +223,7 @@ def national_library(responses: DataFrame, topic: Topic, limit: int, constrained
     rows = items(responses, "$.docs").select(
         "response_id", "topic", "retrieved_at", "pos", "item", i10.alias("isbn_10"), F.coalesce(i13, I.isbn10_to_13(i10)).alias("isbn_13"), plain("$.TITLE").alias("title"), F.lit(None).cast("string").alias("subtitle"), F.lit("und").alias("language"), plain("$.SUBJECT").alias("subject"),
         F.array_compact(F.array(F.nullif(plain("$.AUTHOR"), F.lit("")))).alias("authors"), F.nullif(plain("$.PUBLISHER"), F.lit("")).alias("publisher"), F.lit(None).cast("int").alias("published_year"),
-        descriptions(description=plain("$.BOOK_INTRODUCTION"), other=plain("$.BOOK_SUMMARY")).alias("descriptions"), parse_outline(get(v, "$.BOOK_TB_CNT"), "ranked").alias("entries"), get(v, "$.EBOOK_YN").alias("ebook"),
+        descriptions(description=plain("$.BOOK_INTRODUCTION"), other=plain("$.BOOK_SUMMARY")).alias("descriptions"), store_outline(get(v, "$.BOOK_TB_CNT")).alias("entries"), get(v, "$.EBOOK_YN").alias("ebook"),
     )
     seen = F.concat_ws(" | ", "title", "subject")
     reason = F.when(F.coalesce("isbn_13", "isbn_10").isNull(), "missing_valid_isbn").when(F.coalesce(F.length("title"), F.lit(0)) == 0, "missing_title").when(~seen.rlike(f"(?i){topic.pattern}"), "no_topic_evidence")
@@ -235,7 +235,7 @@ def national_library(responses: DataFrame, topic: Topic, limit: int, constrained
     rows = rows.withColumn("external_id", F.coalesce("isbn_13", "isbn_10")).withColumn("url", F.concat(F.lit("https://www.nl.go.kr/seoji/SearchApi.do?isbn="), F.coalesce("isbn_13", "isbn_10"), F.lit("&result_style=json")))
     rows = identified(rows.withColumn("reason", reason), "national_library", False)
     settled = settle(rows.withColumn("source_id", I.stable_id("source", F.col("book_id"), F.lit("national_library"), F.col("url"))), limit)
-    toc = outline_entries(settled.where("reason IS NULL"), "book_id", "source_id", "entries")
+    toc = placed_entries(settled.where("reason IS NULL"), "book_id", "source_id", "entries")
     return canonical(settled, "national_library", topic, toc), settled
 
 
