@@ -80,7 +80,7 @@ SHAPES = ["<edge>", *(f"d{k}" for k in (1, 2, 3, 4, 5, 6, 7)), *CUES, "x", "Xx",
 PLACE = {s: i for i, s in enumerate(SHAPES)}
 REACH = 2
 #: Tokens that are decoded together, if no single text has more, and rows that are judged together.
-TOGETHER, ROWS = 1 << 17, 400
+TOGETHER, ROWS = 1 << 19, 2000
 LABELS = ("O", *KINDS)
 #: Code points that an address or number has at most; the longest valid e-mail address has 320.
 LONGEST = 400
@@ -195,8 +195,9 @@ def viterbi(runs: list) -> list[list[int]]:
             x[REACH : REACH + n[k], k] = np.frombuffer(bytes(runs[i]), np.uint8)
         on = np.searchsorted(-n, -np.arange(size + 1)).tolist()  # the runs that have a token there come first
         score = np.empty((size, len(LABELS), len(part)))
-        for at in range(0, size, 256):
-            end = min(at + 256, size)
+        stretch = max(16, (1 << 17) // len(part))
+        for at in range(0, size, stretch):
+            end = min(at + stretch, size)
             e = sum(np.take(weight[k].T, x[at + k : end + k], axis=1) for k in range(2 * REACH + 1))
             for t in range(at, end):
                 m = on[t]

@@ -115,10 +115,11 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic",
     if not pos or pos == n:
         return base
     counts = rows.select("y", F.explode("words").alias("w")).groupBy("w").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
-    top = counts.where((F.col("a") + F.col("b") >= SUPPORT) | F.col("w").isin(*TERM)).toPandas().sort_values("w")
-    vocabulary = top.w.tolist()  # bounded by the labelled rows, as is all below
-    t, rate = (top.a + top.b).to_numpy(), pos / n
-    scale = np.abs(top.a.to_numpy() - t * rate) / np.sqrt(t * rate * (1 - rate)) / 3
+    top = counts.where((F.col("a") + F.col("b") >= SUPPORT) | F.col("w").isin(*TERM)).toArrow()
+    top = top.sort_by("w")
+    vocabulary = top.column("w").to_pylist()  # bounded by the labelled rows, as is all below
+    a, b, rate = top.column("a").to_numpy(), top.column("b").to_numpy(), pos / n
+    scale = np.abs(a - (a + b) * rate) / np.sqrt((a + b) * rate * (1 - rate)) / 3
     spread = rows.sparkSession.sparkContext.broadcast(vocabulary)
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,8 +128,9 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic",
             own = [sorted(place[w] for w in ws if w in place) for ws in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own, pa.list_(pa.int32()))], ["y", "found"])
 
-    slim = rows.select("y", "words").mapInArrow(places, "y long, found array<int>").toPandas()
-    y, found = slim.y.to_numpy() > 0, [np.asarray(f, np.int32) for f in slim.found]
+    slim = rows.select("y", "words").mapInArrow(places, "y long, found array<int>").toArrow().combine_chunks()
+    lists = slim.column("found").chunk(0)
+    y, found = slim.column("y").to_numpy() > 0, np.split(lists.flatten().to_numpy(), np.asarray(lists.offsets)[1:-1] - lists.offsets[0].as_py())
     order = sorted(range(len(y)), key=lambda i: (zlib.crc32(found[i].tobytes()), found[i].tobytes(), y[i]))  # kinds mixed
     twins = sorted(tuple(r) for r in rows.select(F.explode("twins").alias("terms")).groupBy("terms").count().collect())
     place = {w: i for i, w in enumerate(vocabulary)}
