@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from tomewright.functions import identity as I
 from tomewright.operators import tree
-from tomewright.plans import build, evidence, providers, reports
-from tomewright.plans.queries import query, table
+from tomewright.plans import build, collection, evidence, providers, reports, scope
+from tomewright.plans.queries import SQL, query, table
 from tomewright.sources import dump
 from tomewright.sources.canonical import Dataset
 from tomewright.sources.schemas import TABLES
@@ -316,3 +316,113 @@ def dataset_merge(spark, sf_dir):
 def outline_paths(spark, sf_dir):
     """Titles from the root down to every entry; entries below a missing one have no root."""
     return tree.tree_paths(dataset(spark, sf_dir).toc, "toc_entry_id", "parent_entry_id", "title")
+
+
+# --- scopes, enrichment, audits ------------------------------------------------------------------------------------
+
+REGISTRY = {"hand-tools": {"name": "도구", "aliases": ["도구", "Hand Tools"], "korean_query": "도구", "english_query": "hand tools", "evidence_pattern": "widget|gadget", "korean_evidence_pattern": "도구", "domain": "goods"}}
+
+
+@query(f"""WITH p AS (SELECT *, p_size % 7 > 0 AS english, p_size % 4 <> 1 AS has_isbn, regexp_matches(p_type, '(?i)widget|gadget|promo') AS by_subject, regexp_matches(p_name, '(?i)widget|gadget|promo') AS by_title FROM {ISBN_SQL}),
+  d AS (SELECT p_brand AS response_id, p_partkey AS pos, 'G' || p_partkey AS external_id, 'isbn13:' || isbn AS book_id, CASE WHEN NOT english THEN 'no_english_edition' WHEN NOT has_isbn THEN 'missing_valid_isbn'
+    WHEN (by_subject OR by_title) AND NOT regexp_matches(p_type, '(?i)standard|promo') THEN 'category_subject_unconfirmed' WHEN by_subject THEN 'matching_subject' WHEN by_title THEN 'title_only_unverified' ELSE 'no_subject_evidence' END AS decision FROM p),
+  candidates AS (SELECT *, CASE WHEN decision NOT IN ('matching_subject', 'title_only_unverified') THEN decision END AS reason FROM d), settled AS ({SETTLE_SQL})
+  SELECT d.response_id, d.external_id, s.reason IS NULL AS included, CASE WHEN s.reason IS NULL OR decision NOT IN ('matching_subject', 'title_only_unverified') THEN decision ELSE 'normalization_or_limit' END AS reason FROM d JOIN settled s USING (external_id)""")
+def scope_audit(spark, sf_dir):
+    """Every candidate of a scoped search with its decision; what the normalizer or the limit drops is told apart."""
+    numbers = F.when(F.col("p_size") % 4 != 1, F.array(F.struct(F.lit("ISBN_13").alias("type"), F.col("isbn").alias("identifier"))))
+    info = F.struct(F.col("p_name").alias("title"), F.when(F.col("p_size") % 7 == 0, "fr").otherwise("en").alias("language"), F.array("p_type").alias("categories"), numbers.alias("industryIdentifiers"))
+    rows = responses(parts(spark, sf_dir), F.struct(F.concat(F.lit("G"), "no").alias("id"), info.alias("volumeInfo")), "items")
+    own = scope.Scope("tools", None, None, "tools", "widget|gadget|promo", None, None, "test", "ready", "standard|promo")
+    _, audit = scope.audit_response(rows, own, scope.literal_topic("tools", "국내도서-도구"), LIMIT, "google_books")
+    return audit.select("response_id", "external_id", "included", "reason")
+
+
+@query("""SELECT 'b' || c_custkey AS book_id, CASE WHEN old IS NULL AND new IS NULL THEN 'remaining' WHEN old IS NULL THEN 'added' WHEN new IS NULL THEN 'lost' WHEN old <> new THEN 'replaced' ELSE 'kept' END AS outcome FROM customer
+  LEFT JOIN (SELECT o_custkey, list_sort(list(DISTINCT l_orderkey)) AS old FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_orderkey % 3 = 0 GROUP BY 1) a ON a.o_custkey = c_custkey
+  LEFT JOIN (SELECT o_custkey, list_sort(list(DISTINCT l_orderkey)) AS new FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_orderkey % 6 < 4 GROUP BY 1) b ON b.o_custkey = c_custkey""")
+def enrichment_outcome(spark, sf_dir):
+    """Books whose outline came, went, changed its sources, or stayed."""
+    d = dataset(spark, sf_dir)
+    order = F.substring("source_id", 2, 20).cast("long")
+    before, after = (Dataset(d.books, d.documents, d.toc.where(c), d.sources) for c in (order % 3 == 0, order % 6 < 4))
+    return collection.enrichment_outcome(before, after)
+
+
+@query("""WITH o AS (SELECT DISTINCT o_custkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey)
+  SELECT CASE WHEN s_suppkey % 2 = 0 THEN 0 ELSE 1 END AS priority, 'page-' || s_suppkey AS slug, 'b' || s_suppkey AS book_id, lower(c_mktsegment) AS topic FROM supplier JOIN customer ON c_custkey = s_suppkey
+  WHERE c_custkey NOT IN (SELECT o_custkey FROM o) OR c_custkey % 2 = 1 ORDER BY 1, 2 LIMIT 40""")
+def enrichment_plan(spark, sf_dir):
+    """The first 40 reviewed pages, publishers' first, whose book has no outline (here those of even books are kept)."""
+    d = dataset(spark, sf_dir)
+    toc = d.toc.where(F.substring("book_id", 2, 20).cast("long") % 2 == 0)
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.lower("c_mktsegment").alias("topic"))
+    key = F.col("s_suppkey").cast("string")
+    pages = table(spark, sf_dir, "supplier").join(c, F.col("s_suppkey") == F.col("k")).select((F.col("s_suppkey") % 2).cast("int").alias("priority"), F.concat(F.lit("page-"), key).alias("slug"), F.concat(F.lit("b"), key).alias("book_id"), "topic")
+    return collection.enrichment_plan(pages, Dataset(d.books, d.documents, toc, d.sources), 40)
+
+
+@query("""SELECT 'p' || p_partkey AS book_id, CASE WHEN p_size % 6 = 0 THEN 'unsupported_source' WHEN p_size % 5 = 0 THEN 'edition_detail_not_fetched' WHEN p_size % 4 = 0 THEN 'rate_limit' WHEN p_size % 4 = 1 THEN 'edition_detail_fetch_failed'
+  WHEN p_size % 4 = 2 THEN 'provider_returned_no_evidence' ELSE 'toc_parse_failure' END AS reason FROM part WHERE p_partkey > 0""")
+def missing_outline_reasons(spark, sf_dir):
+    """Why books have no outline: an older response that knew all editions is outdone by a newer one that says more of them."""
+    p = parts(spark, sf_dir)
+    key = F.concat(F.lit("/books/OL"), "no", F.lit("M"))
+    site = F.when(F.col("p_size") % 6 == 0, "https://example.org").otherwise("https://openlibrary.org")
+    books = p.select(F.concat(F.lit("p"), "no").alias("book_id"), F.col("p_brand").alias("topic"), F.array(F.concat(site, key, F.lit(".json"))).alias("urls"))
+    told = p.where("p_size % 5 > 0")
+    toc = F.when(F.col("p_size") % 4 == 2, F.array().cast("array<string>")).otherwise(F.array(F.lit("x")))
+    detail = F.map_from_entries(F.array_compact(F.collect_list(F.when(F.col("p_size") % 4 >= 2, F.struct(key.alias("k"), F.struct(toc.alias("table_of_contents")).alias("v"))))))
+    failure = F.struct(F.lit("edition_detail").alias("stage"), key.alias("external_id"), F.when(F.col("p_size") % 4 == 0, "rate_limit").otherwise("odd").alias("reason"))
+    failures = F.array_compact(F.collect_list(F.when(F.col("p_size") % 4 < 2, failure)))
+    newer = told.groupBy(F.col("p_brand").alias("topic")).agg(F.to_json(F.struct(detail.alias("edition_details"), failures.alias("collection_failures"))).alias("body")).withColumn("at", F.lit("2026-02-01"))
+    old = F.map_from_entries(F.collect_list(F.struct(key.alias("k"), F.lit("text").alias("v"))))
+    older = told.groupBy(F.col("p_brand").alias("topic")).agg(F.to_json(F.struct(old.alias("edition_details"))).alias("body")).withColumn("at", F.lit("2026-01-01"))
+    artifacts = newer.unionByName(older).select(F.lit("open-library").alias("provider"), "topic", F.col("at").cast("timestamp").alias("retrieved_at"), F.parse_json("body").alias("response"))
+    return collection.missing_outline_reasons(books, artifacts)
+
+
+@query("""WITH t AS (SELECT DISTINCT o_custkey AS c FROM lineitem JOIN orders ON l_orderkey = o_orderkey), d AS (SELECT DISTINCT o_custkey AS c FROM orders WHERE o_orderpriority = '1-URGENT')
+  SELECT 'b' || c_custkey AS book_id, concat_ws(',', CASE WHEN c_custkey % 2 = 1 THEN 'missing_isbn_13' END, 'missing_isbn_10', CASE WHEN t.c IS NULL THEN 'missing_toc' END, CASE WHEN d.c IS NULL THEN 'insufficient_public_prose' END) AS warnings
+  FROM customer LEFT JOIN t ON t.c = c_custkey LEFT JOIN d ON d.c = c_custkey""")
+def book_warnings(spark, sf_dir):
+    return collection.warnings(dataset(spark, sf_dir)).select("book_id", F.array_join("warnings", ",").alias("warnings"))
+
+
+@query("""WITH a AS ({}) SELECT 'status' AS facet, status AS value, count(*) AS books FROM a GROUP BY ALL UNION ALL SELECT 'evidence_state', evidence_state, count(*) FROM a GROUP BY ALL
+  UNION ALL SELECT 'finding', f, count(*) FROM (SELECT unnest(string_split(findings, ',')) AS f FROM a WHERE findings <> '') GROUP BY ALL""")
+def audit_totals(spark, sf_dir):
+    """How often each status, finding and state of evidence is found in the audit of one topic."""
+    return collection.audit_totals(evidence.audit_selection(dataset(spark, sf_dir), "furniture", "widgets"))
+
+
+SQL["audit_totals"] = SQL["audit_totals"].replace("{}", SQL["selection_findings"])
+
+
+@query("""WITH b AS (SELECT c_mktsegment AS segment, c_nationkey + 1990 AS year, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F') AS toc, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT') AS description FROM customer),
+  f AS (SELECT 'all' AS facet, 'all' AS value, toc, description FROM b UNION ALL SELECT 'segment', segment, toc, description FROM b UNION ALL SELECT 'year', year::VARCHAR, toc, description FROM b)
+  SELECT facet, value, count(*) AS books, count(*) FILTER (WHERE toc) AS toc_books, count(*) FILTER (WHERE description) AS description_books, count(*) FILTER (WHERE toc AND description) AS both_books,
+    round(100.0::DOUBLE * count(*) FILTER (WHERE toc) / count(*), 2) AS toc_percentage, round(100.0::DOUBLE * count(*) FILTER (WHERE description) / count(*), 2) AS description_percentage, round(100.0::DOUBLE * count(*) FILTER (WHERE toc AND description) / count(*), 2) AS both_percentage FROM f GROUP BY ALL""")
+def discovery_summary(spark, sf_dir):
+    """Coverage of a discovery overall, by topic and by year."""
+    o = table(spark, sf_dir, "orders")
+    flags = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max(F.col("o_orderstatus") == "F").alias("toc"), F.max(F.col("o_orderpriority") == "1-URGENT").alias("description"))
+    rows = table(spark, sf_dir, "customer").join(flags, "c_custkey", "left").select(F.col("c_mktsegment").alias("segment"), (F.col("c_nationkey") + 1990).alias("year"), F.coalesce("toc", F.lit(False)).alias("toc"), F.coalesce("description", F.lit(False)).alias("description"))
+    return collection.discovery_summary(rows, ["segment", "year"])
+
+
+@query("""SELECT event_id, CASE WHEN event_type = 'click' OR user_id % 5 = 0 THEN 'yes' WHEN event_type = 'view' THEN 'no' ELSE 'unknown' END AS translated FROM events""")
+def translation_states(spark, sf_dir):
+    marker = F.when(F.col("event_type") == "click", " y").when(F.col("event_type") == "view", "n")
+    return table(spark, sf_dir, "events").select("event_id", collection.translation_status(marker, F.when(F.col("user_id") % 5 == 0, "Original")).alias("translated"))
+
+
+@query("""SELECT row_number() OVER (ORDER BY p_brand, p_type, max(event_id) DESC) - 1 AS selector, p_brand AS provider, p_type AS topic, max(event_id) AS event_id FROM
+  (SELECT 'P' || (user_id % 3) AS p_brand, event_type AS p_type, event_id FROM events) GROUP BY p_brand, p_type""")
+def manifest_selection(spark, sf_dir):
+    """The latest artifact of each provider and topic that a manifest names."""
+    e = table(spark, sf_dir, "events")
+    rows = e.select(F.concat(F.lit("P"), (F.col("user_id") % 3).cast("string")).alias("provider"), F.col("event_type").alias("topic"), F.lit(5).alias("requested_limit"), F.lit(None).cast("string").alias("source"), F.lit("h").alias("content_hash"), F.lpad(F.col("event_id").cast("string"), 12, "0").alias("retrieved_at"), F.col("event_id").cast("string").alias("path"), "event_id")
+    pairs = sorted((r.provider, r.topic) for r in rows.select("provider", "topic").distinct().collect())  # a few
+    got = collection.select_artifacts(rows, collection.Manifest(tuple(collection.Selector(p, t, 5) for p, t in pairs), ("b",)))
+    return got.select(F.col("selector").cast("long").alias("selector"), "provider", "topic", "event_id")

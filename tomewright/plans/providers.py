@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tomewright.functions import identity as I
 from tomewright.functions import text as X
-from tomewright.operators.decisions import accepted, relevance
+from tomewright.operators.decisions import accepted, relevance, scope_decision
 from tomewright.operators.outlines import outline_entries, placed_entries, store_outline
 from tomewright.sources.canonical import Dataset
 from tomewright.sources.dump import outline
@@ -128,7 +128,16 @@ def descriptions(**texts: Column) -> Column:
     return F.map_from_entries(pairs)
 
 
-def google_books(responses: DataFrame, topic: Topic, limit: int) -> tuple[Dataset, DataFrame]:
+def scoped(scope, title: Column, subjects: Column, english: Column, isbns: Column) -> Column:
+    """A scope's decision on a candidate; matching_subject where there is no scope."""
+    if scope is None:
+        return F.lit("matching_subject")
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    return scope_decision(F.coalesce(title, F.lit("")), F.array_join(F.coalesce(subjects, F.array().cast("array<string>")), " | "), yes(english), yes(isbns), scope.evidence, scope.category_pattern, scope.book_kind, scope.audience)
+
+
+def google_books(responses: DataFrame, topic: Topic, limit: int, scope=None) -> tuple[Dataset, DataFrame]:
+    """scope: candidates that it doesn't accept are not eligible, by its decision."""
     v = F.col("item")
     kinds = F.coalesce(get(v, "$.volumeInfo.industryIdentifiers", "array<struct<type:string,identifier:string>>"), F.array().cast("array<struct<type:string,identifier:string>>"))
     last = lambda n: I.normalize_isbn(F.try_element_at(F.transform(F.filter(kinds, lambda x: x["type"] == f"ISBN_{n}"), lambda x: x["identifier"]), F.lit(-1)), n)
@@ -137,16 +146,20 @@ def google_books(responses: DataFrame, topic: Topic, limit: int) -> tuple[Datase
         F.lower(get(v, "$.volumeInfo.language")).alias("language"), F.coalesce(get(v, "$.volumeInfo.authors", "array<string>"), F.array().cast("array<string>")).alias("authors"), last(10).alias("isbn_10"), last(13).alias("isbn_13"),
         get(v, "$.volumeInfo.publisher").alias("publisher"), X.published_year(get(v, "$.volumeInfo.publishedDate")).alias("published_year"), F.coalesce(get(v, "$.selfLink"), F.concat(F.lit("https://www.googleapis.com/books/v1/volumes/"), F.trim(get(v, "$.id")))).alias("url"),
         descriptions(description=text_of(v, "$.volumeInfo.description")).alias("descriptions"),
+        scoped(scope, get(v, "$.volumeInfo.title"), get(v, "$.volumeInfo.categories", "array<string>"), F.lower(get(v, "$.volumeInfo.language")) == "en", last(10).isNotNull() | last(13).isNotNull()).alias("decision"),
     )
     ok = (F.length("external_id") > 0) & (F.length("title") > 0) & (F.col("language") == "en")
     object_ = F.schema_of_variant("item").startswith("OBJECT")
-    rows = rows.withColumn("reason", F.when(~object_, "invalid_provider_response").when(~F.coalesce(ok, F.lit(False)), "ineligible_candidate"))
+    rows = rows.withColumn("reason", F.when(~object_, "invalid_provider_response").when(~accepted(F.col("decision")), F.col("decision")).when(~F.coalesce(ok, F.lit(False)), "ineligible_candidate"))
     settled = settle(identified(rows, "google_books", topic.discovery), limit)
     return canonical(settled, "google_books", topic), settled
 
 
-def open_library(responses: DataFrame, topic: Topic, limit: int, gate: bool = False) -> tuple[Dataset, DataFrame]:
-    """Search rows with the details that were fetched for them; outlines come from the edition's detail."""
+def open_library(responses: DataFrame, topic: Topic, limit: int, gate: bool = False, scope=None) -> tuple[Dataset, DataFrame]:
+    """Search rows with the details that were fetched for them; outlines come from the edition's detail.
+
+    scope: candidates that it doesn't accept are not eligible, by its decision.
+    """
     r = items(responses, "$.docs", "$.docs")
     eds = F.filter(get(F.col("item"), "$.editions.docs", "array<variant>"), lambda e: F.array_contains(list_of(e, "$.language"), "eng"))
     r = r.withColumn("edition", F.try_element_at(eds, F.lit(1)))
@@ -163,11 +176,13 @@ def open_library(responses: DataFrame, topic: Topic, limit: int, gate: bool = Fa
         distinct_authors(names).alias("named"), distinct_authors(by).alias("stated"), distinct_authors(F.concat(by, names)).alias("both"), low(10).alias("isbn_10"), low(13).alias("isbn_13"),
         F.try_element_at(list_of(e, "$.publisher"), F.lit(1)).alias("publisher"), F.coalesce(X.published_year(F.try_element_at(list_of(e, "$.publish_date"), F.lit(1))), get(v, "$.first_publish_year", "int")).alias("published_year"),
         F.concat(F.lit("https://openlibrary.org"), F.col("external_id")).alias("url"), descriptions(description=F.coalesce(text_of(d, "$.description"), text_of(F.col("work"), "$.description"))).alias("descriptions"),
-        F.array_join(subjects, " | ").alias("subjects"), F.transform(outline(d), lambda x, i: F.struct(i.alias("pos"), x["level"].alias("level"), x["label"].alias("label"), x["title"].alias("title"))).alias("entries"),
+        F.array_join(subjects, " | ").alias("subjects"), get(v, "$.subject", "array<string>").alias("own_subjects"), F.transform(outline(d), lambda x, i: F.struct(i.alias("pos"), x["level"].alias("level"), x["label"].alias("label"), x["title"].alias("title"))).alias("entries"),
     )
     few = F.size("stated").between(1, MOST_AUTHORS)
     rows = rows.withColumn("authors", F.when(few & (F.size("both") <= MOST_AUTHORS), F.col("both")).when(few, F.col("stated")).otherwise(F.col("named")))
-    reason = F.when(F.col("edition").isNull(), "no_english_edition").when(~((F.length("external_id") > 0) & (F.length("title") > 0)), "missing_identity").when(F.size("authors") > MOST_AUTHORS, "unreliable_author_aggregation")
+    decision = scoped(scope, get(e, "$.title"), F.col("own_subjects"), F.col("edition").isNotNull(), F.coalesce("isbn_13", "isbn_10").isNotNull())
+    rows = rows.withColumn("decision", decision)
+    reason = F.when(~accepted(F.col("decision")), F.col("decision")).when(F.col("edition").isNull(), "no_english_edition").when(~((F.length("external_id") > 0) & (F.length("title") > 0)), "missing_identity").when(F.size("authors") > MOST_AUTHORS, "unreliable_author_aggregation")
     if gate:
         decision = relevance(F.col("subjects"), F.col("title"), topic.pattern, topic.conflict)
         rows = rows.withColumn("relevance", decision)
