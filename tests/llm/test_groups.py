@@ -317,6 +317,12 @@ def test_leaks_equal_brute_force(spark, none):
     assert got == plain_leaks(docs, bench)
     assert len({k for k, _ in got}) >= 15
     assert decontaminate.leaks(d.union(d), b.union(b)).count() == len(got)
+    again = decontaminate.leaks(d.repartition(5), b.repartition(3)).collect()  # ties between windows don't matter
+    assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in again} == got
+    long = " ".join(prose(30_000) + items[3][1] + prose(30_000))
+    odd = spark.createDataFrame([(None, long), (None, docs[0][1]), (7, long), (7, "clean " * 9)], "doc_id long, text string")
+    found = Counter((r.doc_id, r.item_id) for r in decontaminate.leaks(odd, b).collect() if r.item_id not in (5, 6))  # few words are in any long text
+    assert found == Counter([(None, 3), (7, 3), (None, 0)])
     assert decontaminate.leaks(none, b).count() == 0 and decontaminate.leaks(d, b.limit(0)).count() == 0
 
 

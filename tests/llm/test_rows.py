@@ -39,6 +39,17 @@ def test_urls_equal_plain_rules(spark, joined):
     assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in got.collect()} == {i: plain(u, URL_RULES) for i, u in enumerate(URLS)}
 
 
+def test_odd_ids_repeated_rules_and_long_lists(spark, monkeypatch):
+    """Null and repeated ids keep their rows, the last verdict by code point holds, and a long list is joined to the same end."""
+    rules = [("a.com", "/x", "block"), ("a.com", "/x", "allow"), ("A.com", "/x", "block"), ("b.com", "", "block")]
+    urls = [(None, "http://a.com/xy"), (None, "http://b.com"), (1, "http://b.com"), (1, "http://b.com"), (2, None), (3, "http://c.b.com/" + "p/" * 50_000)]
+    pages = spark.createDataFrame([(i, u, "r", "v") for i, u in urls], "page_id long, url string, rule string, verdict string")
+    want = Counter([(None, "a.com/x", "block"), (None, "b.com", "block"), (1, "b.com", "block"), (1, "b.com", "block"), (2, None, "allow"), (3, "b.com", "block")])
+    for size in (1 << 20, 1):
+        monkeypatch.setattr(url_filter, "INDEX_BYTES", size)
+        assert Counter((r.page_id, r.rule, r.verdict) for r in url_filter.filter_urls(pages, rules).collect()) == want
+
+
 def test_urls_without_rules_and_without_rows(spark):
     pages = spark.createDataFrame([(1, "http://a.com/x")], "page_id long, url string")
     assert url_filter.filter_urls(pages, []).first().verdict == "allow"

@@ -6,8 +6,9 @@ it (every host suffix with every path length the list knows); their digests are
 search, and each hit is confirmed against the stored string, so that a collision never decides.
 
 Null urls and urls without `://` have an empty host and path; no rule fits them. Of several rules that fit, the
-longest string wins, then the one with the longer host. Repeated rules: the last one given holds. A list without
-rules gives every url the default verdict. Only the id and url columns are read, so others may have any name.
+longest string wins, then the one with the longer host. Of repeated rules the verdict that is last by code point holds. A
+list without rules gives every url the default verdict. Null and repeated ids keep their own rows; very long urls are
+judged whole; an empty table gives none. Only the id and url columns are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -35,7 +36,9 @@ def digest(text: bytes) -> int:
 
 def build_index(rules: Iterable[tuple[str, str, str]]) -> bytes:
     """One file from (host, path, verdict): counts, digests in order, string offsets, path lengths, verdicts, strings."""
-    own = {(h.translate(str.maketrans(UPPER, LOWER)) + p).encode(): (len(h.encode()), v) for h, p, v in rules}
+    own: dict[bytes, tuple[int, str]] = {}
+    for h, p, v in sorted(rules, key=lambda r: r[2]):
+        own[(h.translate(str.maketrans(UPPER, LOWER)) + p).encode()] = (len(h.encode()), v)
     rows = sorted((digest(k), k, h, v) for k, (h, v) in own.items())
     verdicts = sorted({v for *_, v in rows})
     blob, names = b"".join(k for _, k, _, _ in rows), "\n".join(verdicts).encode()
@@ -127,10 +130,14 @@ def _publish(spark: SparkSession, data: bytes) -> str:
 
 
 def filter_urls(pages: DataFrame, rules: Iterable[tuple[str, str, str]], default: str = "allow", id_column: str = "page_id", url_column: str = "url") -> DataFrame:
-    """(id, host, path, rule, verdict) of every row of pages; rules are (host, path, verdict)."""
+    """(id, host, path, rule, verdict) of every row of pages; rules are (host, path, verdict).
+
+    An index of over INDEX_BYTES isn't sent out: the rules are joined instead, with the same result.
+    """
+    rules = list(rules)
     data = build_index(rules)
     if len(data) > INDEX_BYTES:
-        raise ValueError(f"the index has {len(data)} bytes, more than executors are sent; use filter_urls_joined with the rules as a table")
+        return filter_urls_joined(pages, pages.sparkSession.createDataFrame(rules, "host string, path string, verdict string"), default, id_column, url_column)
     name = _publish(pages.sparkSession, data)
     host, path = host_and_path(F.col(url_column))
     own = pages.select(F.col(id_column), host.alias("host"), path.alias("path"))
@@ -148,7 +155,8 @@ def filter_urls(pages: DataFrame, rules: Iterable[tuple[str, str, str]], default
 def filter_urls_joined(pages: DataFrame, rules: DataFrame, default: str = "allow", id_column: str = "page_id", url_column: str = "url") -> DataFrame:
     """The same for a rule table (host, path, verdict) of any size: candidate strings are joined by shuffle, not sent out.
 
-    A row with a null or repeated id keeps its own row, as a running number within the plan is carried along.
+    Urls are brought to one for each host and path, judged, and joined back to their rows; those without a host, which no
+    rule fits, take no part in the join. What is sent to all tasks is the list of lengths that rule paths have.
     """
     host, path = host_and_path(F.col(url_column))
     own = pages.select(F.col(id_column), host.alias("host"), path.alias("path"))
@@ -160,4 +168,6 @@ def filter_urls_joined(pages: DataFrame, rules: DataFrame, default: str = "allow
     cand = urls.select("host", "path", F.explode(tails).alias("tail"), "cuts").select("host", "path", "tail", F.explode("cuts").alias("cut")).where("cut <= length(path)")
     cand = cand.select("host", "path", F.length("tail").alias("h"), F.concat("tail", F.expr("left(path, cut)")).alias("rule")).distinct()
     best = cand.join(keyed.groupBy("rule").agg(F.max("verdict").alias("verdict")), "rule").groupBy("host", "path").agg(F.max_by(F.struct("rule", "verdict"), F.struct(F.length("rule"), "h")).alias("b"))
-    return own.join(best, ["host", "path"], "left").select(id_column, "host", "path", F.col("b.rule").alias("rule"), F.coalesce("b.verdict", F.lit(default)).alias("verdict"))
+    judged = own.where("host <> ''").join(best, ["host", "path"], "left").select(*own.columns, "b")
+    rest = own.where("host = ''").withColumn("b", F.lit(None).cast(best.schema["b"].dataType))
+    return judged.unionByName(rest).select(id_column, "host", "path", F.col("b.rule").alias("rule"), F.coalesce("b.verdict", F.lit(default)).alias("verdict"))
