@@ -352,9 +352,11 @@ def greedy_batches(spark, sf_dir):
     return batching.greedy_batches(rows, "conv_id", "turn", "size", 600)
 
 
-@query()
+@query("""WITH p AS (SELECT doc_id, text, string_split_regex(text, '(?i)licensed?|version') AS between, regexp_extract_all(text, '(?i)licensed?|version') AS found FROM documents),
+  m AS (SELECT doc_id, text, found[i] AS match, (list_sum([length(x) FOR x IN between[1:i]]) + coalesce(list_sum([length(x) FOR x IN found[1:i - 1]]), 0))::BIGINT AS start FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM p))
+  SELECT doc_id, start, start + length(match) AS "end", match, substr(text, greatest(0, start - 80) + 1, start + length(match) + 80 - greatest(0, start - 80)) AS context FROM m""")
 def regex_offsets(spark, sf_dir):
-    return batching.regex_spans(table(spark, sf_dir, "documents"), "doc_id", "text", r"\blicensed?\b|\bversion\b")
+    return batching.regex_spans(table(spark, sf_dir, "documents"), "doc_id", "text", r"licensed?|version")
 
 
 @query("""SELECT doc_id, lang IN ('en', 'de') AND NOT regexp_matches(text, '[àâçéèêëîïôûùüÿñæœáíóúößä]') AS copied FROM documents""")
@@ -432,7 +434,8 @@ def cost_and_labels(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", X.cost_estimate(F.length("text"), F.col("turn"), 1.0, 2.0).alias("cost"), X.label_value(label).alias("label"))
 
 
-@query()
+@query("""SELECT page_id, (i - 1)::INT AS order_index, levels[i]::INT AS level, trim(regexp_replace(replace(replace(replace(replace(regexp_replace(inner_[i], '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\\s+', ' ', 'g')) AS title
+  FROM (SELECT page_id, unnest(range(1, len(levels) + 1)) AS i, levels, inner_ FROM (SELECT page_id, regexp_extract_all(html, '(?s)<h([1-6])[^>]*>(.*?)</h[1-6]>', 1) AS levels, regexp_extract_all(html, '(?s)<h([1-6])[^>]*>(.*?)</h[1-6]>', 2) AS inner_ FROM pages))""")
 def html_headings_toc(spark, sf_dir):
     from tomewright.sources.html import headings
 
