@@ -1,5 +1,6 @@
 """Scopes of searches, manifests, book subsets, evidence files and trees, against plain versions."""
 
+import hashlib
 import json
 import random
 
@@ -7,8 +8,9 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from tomewright.functions import text as X
 from tomewright.operators import joins, tree
-from tomewright.plans import collection, scope
+from tomewright.plans import build, collection, reports, scope
 from tomewright.plans.providers import Topic
 from tomewright.sources import dump
 from tomewright.sources.canonical import Dataset
@@ -162,3 +164,46 @@ def test_the_target_is_the_first_edition_that_is_no_supplement(spark):
     more = dump.editions(dump.parse_dump(spark.createDataFrame([(x,) for x in [*lines, line("/books/F", "Logic", "/works/Y", 3)]], "value string"), "/type/edition"))
     got = dump.resolve_tables(more, dump.isbns(more), spark.createDataFrame([("9780306406157",)], "isbn string")).first()
     assert (got.tier, got.target_edition, got.edition_key) == ("exact_edition_toc", "/books/B", "/books/F")
+
+
+def test_reviews_and_scale_reports(spark):
+    first = spark.createDataFrame([("t", "a", "T a"), ("t", "b", "T b")], "topic string, book_id string, title string")
+    second = spark.createDataFrame([("t", "b", "T b"), ("t", "c", "T c")], "topic string, book_id string, title string")
+    sheet = reports.review_sheet(first, second, spark.createDataFrame([("t", "T a", "no_topic_evidence")], "topic string, title string, reason string"))
+    filled = sheet.withColumn("relevant", F.when(F.col("book_id") == "c", "no").otherwise("yes"))
+    got = {n: sorted((r.book_id, r.relevant) for r in d.collect()) for n, d in reports.finalize_review(first, second, filled).items()}
+    assert got == {"first": [("a", True), ("b", True)], "second": [("b", True), ("c", False)]}
+    for bad in (sheet, filled.where("book_id <> 'a'"), filled.union(filled)):
+        with pytest.raises(ValueError):
+            reports.finalize_review(first, second, bad)
+    rows = {(r.section, r.key): r.value for r in reports.scale_report(small(spark, ["a", "b"])).collect()}
+    assert rows["coverage", "all/books"] == 2 and rows["missing", "toc"] == 2 and rows["warning", "missing_toc"] == 2 and rows["errors", "book_without_source"] == 2 and rows["year", "unknown"] == 2
+
+
+def test_builds_from_a_manifest(spark, tmp_path):
+    def put(name, at, titles):
+        items = [{"id": t, "volumeInfo": {"title": t, "language": "en", "authors": ["Ann"]}} for t in titles]
+        response = {"items": items}
+        body = {"schema_version": 1, "provider": "google-books", "topic": "t", "requested_limit": 2, "retrieved_at": at, "request_parameters": {}, "response": response}
+        own = "sha256:" + hashlib.sha256(json.dumps(response, ensure_ascii=False, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+        (tmp_path / "google_books" / "t").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "google_books" / "t" / name).write_text(json.dumps(body | {"content_hash": own}))
+
+    put("1.json", "2026-01-01T00:00:00Z", ["Old"])
+    put("2.json", "2026-01-02T00:00:00Z", ["New", "Next", "Beyond"])
+    ids = ["book_" + hashlib.sha256(f"{t}\x1fann".encode()).hexdigest()[:20] for t in ("new", "next")]
+    selector = (collection.Selector("google-books", "t", 2),)
+    data = build.build_manifest(spark, str(tmp_path), {"t": Topic("t", "d", "x")}, collection.Manifest(selector, tuple(ids)))
+    assert sorted(r.title for r in data.books.collect()) == ["New", "Next"]
+    with pytest.raises(build.DatasetError, match="unexpected"):
+        build.build_manifest(spark, str(tmp_path), {"t": Topic("t", "d", "x")}, collection.Manifest(selector, (ids[0],)))
+
+
+def test_plain_and_other_texts_alike(spark):
+    rng = random.Random(1)
+    values = [None, "", "  ", "C++ & C#", "a\x1cb\x85c", "É ß Ｂ", "<p>a</p>b", "&amp; x", "A\t\nB", *("".join(rng.choice("aB+# .é<>&p/\x0b") for _ in range(9)) for _ in range(300))]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string").select("i", X.bibliographic_key(F.col("v")).alias("a"), X.name_key(F.col("v")).alias("b"), X.html_text(F.col("v")).alias("c")).collect()
+    for r in rows:
+        v = values[r.i]
+        assert (r.a, r.b) == (X.bibliographic(v), X.name_form(v)), v
+        assert r.c == (None if v is None else "\n".join(t for _, t in X.html_blocks(v))) or v is None, v

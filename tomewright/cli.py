@@ -1,4 +1,4 @@
-"""Command line over the plans: build, merge, report, audit, export, and the bulk index."""
+"""Command line over the plans: build, merge, report, compare, audit, export, and the bulk index. Nothing is fetched."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import json
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from tomewright.plans import build, evidence, reports
+from tomewright.plans import build, collection, evidence, reports
 from tomewright.plans.providers import Topic
 from tomewright.sources import canonical, dump, raw
 
@@ -41,6 +41,15 @@ def main(argv: list[str] | None = None) -> int:
     add("build-index", "dump", "targets", "index")
     add("resolve", "index", "targets", "target")
     add("enrich-bulk", "dataset", "index", "date", "target")
+    add("build-manifest", "raw", "topics", "manifest", "target")
+    add("report-scale", "raw", "topics", "manifest", "target")
+    add("compare-scale", "first", "second", "first_labels", "second_labels")
+    add("prepare-relevance-review", "first", "second", "rejected", "target")
+    add("finalize-relevance-review", "first", "second", "review", "target")
+    add("inspect-index", "index", "targets")
+    add("report-toc-acquisition", "before", "after")
+    add("enrich-toc", "dataset", "sources", "attempts")
+    add("bulk-status", "dataset", "index")
     a = parser.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     data = canonical.read_dataset(spark, a.dataset) if hasattr(a, "dataset") else None
@@ -68,6 +77,41 @@ def main(argv: list[str] | None = None) -> int:
         dump.resolve(a.index, spark.read.text(a.targets).select(F.trim("value").alias("isbn"))).write.mode("errorifexists").parquet(a.target)
     elif a.command == "enrich-bulk":
         canonical.write_dataset(build.check(build.enrich_from_bulk(data, a.index, a.date)), a.target)
+    elif a.command in ("build-manifest", "report-scale"):
+        with open(a.manifest, encoding="utf-8") as f:
+            m = json.load(f)
+        wanted = collection.Manifest(tuple(collection.Selector(**s) for s in m["raw_artifacts"]), tuple(m["expected_book_ids"]), m.get("relevance_gate"))
+        make = lambda: build.build_manifest(spark, a.raw, topics(a.topics), wanted)
+        found = build.check(make())
+        if a.command == "build-manifest":
+            canonical.write_dataset(found, a.target)
+        else:
+            if not collection.rebuilds_alike(make):
+                raise ValueError("two builds differ")
+            report = reports.scale_report(found)
+            report.coalesce(1).write.mode("errorifexists").json(a.target)
+    elif a.command == "compare-scale":
+        read = lambda p: spark.read.option("header", True).csv(p)
+        print(reports.text_report(reports.compare(read(a.first), read(a.second), read(a.first_labels), read(a.second_labels)).orderBy("topic"), ["topic", "first", "second", "change"]))
+    elif a.command == "prepare-relevance-review":
+        read = lambda p: spark.read.option("header", True).csv(p)
+        canonical.write_csv(reports.review_sheet(read(a.first), read(a.second), read(a.rejected)).orderBy("topic", "book_id"), a.target)
+    elif a.command == "finalize-relevance-review":
+        read = lambda p: spark.read.option("header", True).csv(p)
+        for name, rows in reports.finalize_review(read(a.first), read(a.second), read(a.review)).items():
+            canonical.write_csv(rows.orderBy("topic", "book_id"), f"{a.target}/{name}")
+    elif a.command == "inspect-index":
+        rows = dump.inspect_tables(spark.read.parquet(f"{a.index}/editions"), spark.read.parquet(f"{a.index}/isbns"), spark.read.text(a.targets).select(F.trim("value").alias("isbn")))
+        print(reports.text_report(rows.orderBy("isbn"), rows.columns))
+    elif a.command == "report-toc-acquisition":
+        rows = collection.enrichment_outcome(canonical.read_dataset(spark, a.before), canonical.read_dataset(spark, a.after))
+        print(reports.text_report(rows.groupBy("outcome").count().orderBy("outcome"), ["outcome", "count"]))
+    elif a.command == "enrich-toc":
+        rows = spark.read.option("header", True).csv(a.sources).withColumn("priority", F.col("priority").cast("int"))
+        print(reports.text_report(collection.enrichment_plan(rows, data, int(a.attempts)), ["priority", "slug", "book_id", "topic"]))
+    elif a.command == "bulk-status":
+        isbns = data.books.select(F.coalesce("isbn_13", "isbn_10").alias("isbn")).where("isbn IS NOT NULL")
+        print(reports.text_report(dump.resolve(a.index, isbns).groupBy("tier").count().orderBy("tier"), ["tier", "count"]))
     return 0
 
 

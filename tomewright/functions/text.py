@@ -1,4 +1,5 @@
-"""Text functions. Unicode normalization has no JVM built-in and runs in Arrow batches; all else is JVM-side."""
+"""Text functions. Unicode normalization and markup have no JVM built-in and run in Arrow batches, for those values only
+that need it; all else is JVM-side."""
 
 from __future__ import annotations
 
@@ -78,17 +79,32 @@ def _arrow(f: Callable[[str | None], object], kind: T.DataType | str):
     return run
 
 
+#: ASCII white space as Python's str.split() takes it.
+SPACES = r"[\x09-\x0D\x1C-\x20]+"
+
+
+def _split(c: Column, simple: Column, jvm: Column, python: Callable[[str | None], str | None]) -> Column:
+    """jvm for simple values; python, in Arrow batches, sees the others only."""
+    return F.coalesce(F.when(simple, jvm), _arrow(lambda v: python(v if isinstance(v, str) else None), "string")(F.when(~simple, c)))
+
+
+def _ascii(c: Column) -> Column:
+    return ~c.rlike(r"[^\x00-\x7F]")
+
+
 def bibliographic_key(c: Column) -> Column:
-    return _arrow(lambda v: bibliographic(v if isinstance(v, str) else None), "string")(c)
+    spelled = F.replace(F.replace(F.lower(c), F.lit("+"), F.lit(" plus ")), F.lit("#"), F.lit(" sharp "))
+    return _split(c, _ascii(c), F.btrim(F.regexp_replace(spelled, "[^a-z0-9]+", " ")), bibliographic)
 
 
 def name_key(c: Column) -> Column:
-    return _arrow(lambda v: name_form(v if isinstance(v, str) else None), "string")(c)
+    return _split(c, _ascii(c), F.regexp_replace(F.lower(c), SPACES, ""), name_form)
 
 
 def html_text(c: Column) -> Column:
     """Visible text, blocks on lines of their own."""
-    return _arrow(lambda v: "\n".join(t for _, t in html_blocks(v if isinstance(v, str) else None)), "string")(c)
+    plain = ~c.rlike(r"[<&\x{80}-\x{10FFFF}]")
+    return _split(c, plain, F.btrim(F.regexp_replace(c, SPACES, " ")), lambda v: "\n".join(t for _, t in html_blocks(v)))
 
 
 def clean_title(c: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tomewright.functions.identity import stable_id
 from tomewright.operators import joins, merge, validation
 from tomewright.operators.outlines import outline_entries
+from tomewright.plans.collection import Manifest, select_artifacts
 from tomewright.plans.providers import NORMALIZERS, Topic
 from tomewright.sources import dump, raw
 from tomewright.sources.canonical import Dataset
@@ -75,6 +76,25 @@ def build(spark: SparkSession, folder: str, topics: dict[str, Topic], limit: int
     return merge_datasets(out) if out else Dataset.empty(spark)
 
 
+def build_manifest(spark: SparkSession, folder: str, topics: dict[str, Topic], manifest: Manifest) -> Dataset:
+    """The manifest's responses only, each normalized up to its own limit; the books have to be those it expects."""
+    rows = raw.read_raw(spark, folder)
+    about = rows.select("provider", "topic", "requested_limit", F.try_variant_get("request_parameters", "$.source", "string").alias("source"), "content_hash", F.col("retrieved_at").cast("string").alias("retrieved_at"), "path")
+    out = []
+    for r in select_artifacts(about, manifest).select("provider", "topic", "requested_limit", "path").collect():  # a row for each selector
+        provider = r.provider.replace("-", "_")
+        if provider not in NORMALIZERS or r.topic not in topics:
+            raise DatasetError(f"no normalizer for {r.provider}/{r.topic}")
+        own = rows.where(F.col("path") == r.path).select(F.col("path").alias("response_id"), "topic", F.col("retrieved_at").cast("timestamp").alias("retrieved_at"), "response")
+        out.append(NORMALIZERS[provider](own, topics[r.topic], r.requested_limit, **({"gate": True} if manifest.gate else {}))[0])
+    data = merge_datasets(out)
+    expected = spark.createDataFrame([(i,) for i in manifest.expected], "book_id string")
+    wrong = joins.set_differences(expected, data.books, "book_id").limit(10).collect()
+    if wrong:
+        raise DatasetError("; ".join(f"{w.kind} {w.book_id}" for w in wrong))
+    return data
+
+
 def enrich_from_bulk(data: Dataset, index: str, dump_date: str) -> Dataset:
     """Outlines from the bulk index for books that have none; their sources carry the date of the dump."""
     lacking = joins.without_keys(data.books.where("isbn_13 IS NOT NULL OR isbn_10 IS NOT NULL"), data.toc, "book_id")

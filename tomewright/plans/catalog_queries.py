@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tomewright.functions import identity as I
+from tomewright.functions import text as X
 from tomewright.operators import tree
 from tomewright.plans import build, collection, evidence, providers, reports, scope
 from tomewright.plans.queries import SQL, query, table
@@ -426,3 +427,10 @@ def manifest_selection(spark, sf_dir):
     pairs = sorted((r.provider, r.topic) for r in rows.select("provider", "topic").distinct().collect())  # a few
     got = collection.select_artifacts(rows, collection.Manifest(tuple(collection.Selector(p, t, 5) for p, t in pairs), ("b",)))
     return got.select(F.col("selector").cast("long").alias("selector"), "provider", "topic", "event_id")
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'brand é ' || lower(p_name) || ' ss c plus plus' ELSE lower(p_name) || ' c sharp' END AS key, CASE WHEN p_size % 2 = 0 THEN 'brandé,' || replace(lower(p_name), ' ', '') || 'ssc++' ELSE replace(lower(p_name), ' ', '') || 'c#' END AS name FROM part""")
+def unicode_keys(spark, sf_dir):
+    """Comparison forms of names of any width and case, and of plain ones."""
+    c = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("Ｂrand É, "), "p_name", F.lit(" ß C++"))).otherwise(F.concat("p_name", F.lit(" C#")))
+    return table(spark, sf_dir, "part").select("p_partkey", X.bibliographic_key(c).alias("key"), X.name_key(c).alias("name"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tomewright.functions import text as X
 from tomewright.operators import coverage, joins, validation
+from tomewright.plans.collection import warnings
 from tomewright.sources.canonical import Dataset
 
 
@@ -79,3 +80,35 @@ def review_sheet(first: DataFrame, second: DataFrame, rejected: DataFrame) -> Da
 def text_report(rows: DataFrame, columns: list[str], limit: int = 1000) -> str:
     """A bounded table of lines for a terminal."""
     return "\n".join(" ".join(f"{c}={r[c]}" for c in columns) for r in rows.select(*columns).limit(limit).collect())
+
+
+def scale_report(data: Dataset) -> DataFrame:
+    """(section, key, value): coverage overall and by topic, missing fields, errors, years and warnings of a dataset, in one table."""
+    rows = book_coverage(data)
+    counts = topic_coverage(data)
+    names = [c for c in counts.columns if c != "topic"]
+    by_topic = counts.select(F.coalesce("topic", F.lit("all")).alias("topic"), F.explode(F.create_map(*[x for c in names for x in (F.lit(c), F.col(c))])).alias("what", "value"))
+    parts = [
+        by_topic.select(F.lit("coverage").alias("section"), F.concat_ws("/", "topic", "what").alias("key"), "value"),
+        missing_fields(data).select(F.lit("missing"), "field", "books"),
+        integrity(data).select(F.lit("errors"), "kind", "errors"),
+        data.books.groupBy(F.coalesce(F.col("published_year").cast("string"), F.lit("unknown")).alias("year")).agg(F.count("*").alias("n")).select(F.lit("year"), "year", "n"),
+        warnings(data).select(F.explode("warnings").alias("w")).groupBy("w").agg(F.count("*").alias("n")).select(F.lit("warning"), "w", "n"),
+        rows.agg(F.sum("text_chars").alias("n")).select(F.lit("size"), F.lit("text_chars"), F.coalesce("n", F.lit(0))),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out.orderBy("section", "key")
+
+
+def finalize_review(first: DataFrame, second: DataFrame, review: DataFrame) -> dict[str, DataFrame]:
+    """The labels of both selections from one filled-in sheet. It must have each of their books once, and a label for each."""
+    asked = first.select("topic", "book_id").unionByName(second.select("topic", "book_id")).distinct()
+    labels = review.select("topic", "book_id", X.label_value(F.col("relevant")).alias("relevant"))
+    sides = asked.withColumn("n", F.lit(1)).unionByName(labels.select("topic", "book_id", F.lit(-1).alias("n")))
+    if sides.groupBy("topic", "book_id").agg(F.sum("n").alias("n")).where("n <> 0").take(1):
+        raise ValueError("the sheet hasn't each book of the selections once")
+    if not labels.where("relevant IS NULL").isEmpty():
+        raise ValueError("a book has no label")
+    return {name: labels.join(rows.select("topic", "book_id"), ["topic", "book_id"], "left_semi") for name, rows in (("first", first), ("second", second))}
