@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tomewright.llm.common import FIT_ROWS, labelled, slabs, work_table
+from tomewright.llm.common import FIT_ROWS, labelled, released, slabs, work_table
 from tomewright.llm.quality_rules import LONGS, STATS, calibrate, features, rule_stats
 
 #: Hashed places for words, and for tokens of the metadata.
@@ -187,7 +187,7 @@ def with_views(documents: DataFrame, keep: tuple[str, ...]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep) + 2], *(pa.array(c) for c in cols), pa.array([words_in(t) for t in texts], pa.list_(pa.int32()))], names)
 
     kinds = ", ".join(f"`{k}` {own.schema[k].dataType.simpleString()}" for k in names[: len(keep) + 2])
-    return own.mapInArrow(run, f"{kinds}, {LONGS}, words array<int>")
+    return own.mapInArrow(lambda batches: released(run(batches)), f"{kinds}, {LONGS}, words array<int>")
 
 
 def taught(pool: DataFrame, model: QualityModel, known: list, sure: float) -> list[np.ndarray]:
@@ -277,7 +277,7 @@ def keep_quality(documents: DataFrame, model: QualityModel) -> DataFrame:
                 score, *_ = m.scores(Rows.of(own | {x: pa.array(c) for x, c in zip(STATS, cols, strict=True)}))
                 yield part.filter(pa.array(score >= m.threshold))
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(lambda batches: released(run(batches)), documents.schema)
 
 
 def score_quality(documents: DataFrame, model: QualityModel) -> DataFrame:

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tomewright.llm.common import released
+
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -80,7 +82,7 @@ SHAPES = ["<edge>", *(f"d{k}" for k in (1, 2, 3, 4, 5, 6, 7)), *CUES, "x", "Xx",
 PLACE = {s: i for i, s in enumerate(SHAPES)}
 REACH = 2
 #: Tokens that are decoded together, if no single text has more, and rows that are judged together.
-TOGETHER, ROWS = 1 << 19, 2000
+TOGETHER, ROWS = 1 << 18, 1000
 LABELS = ("O", *KINDS)
 #: Code points that an address or number has at most; the longest valid e-mail address has 320.
 LONGEST = 400
@@ -282,7 +284,7 @@ def find_pii(documents: DataFrame) -> DataFrame:
                 sha = pa.array([hashlib.sha256(joined(f[0]).encode()).hexdigest() for f in found], pa.string())
                 yield pa.RecordBatch.from_arrays([part.column(0), *counts, sha, pa.array([joined(f[1]) for f in found], pa.string())], ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
 
-    return own.mapInArrow(run, f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return own.mapInArrow(lambda batches: released(run(batches)), f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
 def masked(text: str, spans: list[Span]) -> str:
@@ -311,5 +313,5 @@ def mask(documents: DataFrame) -> DataFrame:
                 new = [None if t is None else masked(t, f[1]) for t, f in zip(texts, found, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if k == at else c for k, c in enumerate(part.columns)], names)
 
-    out = documents.mapInArrow(run, schema)
+    out = documents.mapInArrow(lambda batches: released(run(batches)), schema)
     return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in names else out

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tomewright.llm.common import row_hash, without_rows, work_table
+from tomewright.llm.common import released, row_hash, without_rows, work_table
 from tomewright.llm.graph import connected_components
 
 SEED = 42
@@ -88,7 +88,7 @@ def with_fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
                 flat = np.fromiter((h for r in rows for h in r), np.uint64, int(counts.sum()))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(majority(flat, counts).view(np.int64))], ["doc_id", "rid", "fp"])
 
-    return own.mapInArrow(run, f"doc_id {kind}, rid long, fp long")
+    return own.mapInArrow(lambda batches: released(run(batches)), f"doc_id {kind}, rid long, fp long")
 
 
 def key_masks(level: int, radius: int) -> list[int]:
