@@ -145,3 +145,19 @@ def test_bulk_index_and_resolution(spark, tmp_path):
         dump.read_dump(spark, f"file://{tmp_path}/e.txt.gz", "/type/work").collect()
     with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
         dump.build_index(source, f"file://{tmp_path}/index", targets=targets)
+
+
+def test_digests_of_small_and_of_large_files(spark, tmp_path, monkeypatch):
+    import hashlib
+
+    from tomewright.sources import raw
+
+    bodies = {"a.gz": b"x" * 10, "b.gz": b"y" * 5000, "c.gz": b""}
+    for name, body in bodies.items():
+        (tmp_path / name).write_bytes(body)
+    monkeypatch.setattr(raw, "HASHED_BYTES", 100)  # b.gz is read as a stream
+    wanted = hashlib.sha1(bodies["b.gz"]).hexdigest()
+    rows = {r.path.rpartition("/")[2]: r for r in raw.verify_files(spark, f"file://{tmp_path}", wanted.upper()).collect()}
+    assert {n: r.sha1 for n, r in rows.items()} == {n: hashlib.sha1(b).hexdigest() for n, b in bodies.items() if b}  # empty files have no row
+    assert {n for n, r in rows.items() if r.ok} == {"b.gz"}
+    assert {r.length for r in raw.verify_files(spark, f"file://{tmp_path}", size=10).where("ok").collect()} == {10}

@@ -7,7 +7,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from tomewright.plans import catalog_queries  # noqa: F401  (adds to the queries)
+from tomewright.plans import catalog_queries, source_queries  # noqa: F401  (add to the queries)
 from tomewright.plans.queries import QUERIES, SQL
 
 ROOT = Path(__file__).resolve().parent.parent

@@ -70,7 +70,8 @@ def main(argv: list[str] | None = None) -> int:
         lines = evidence.evidence_lines(evidence.export_evidence(build.check(data), a.version), a.version)
         lines.repartitionByRange("book_id").sortWithinPartitions("book_id").select("value").write.mode("errorifexists").text(a.target)
     elif a.command == "verify-dump":
-        return int(not all(r.ok for r in raw.verify_files(spark, a.path, a.sha1).select("ok").collect()))
+        rows = raw.verify_files(spark, a.path, a.sha1).select("ok").collect()
+        return int(not rows or not all(r.ok for r in rows))
     elif a.command == "build-index":
         dump.build_index(dump.read_dump(spark, a.dump, "/type/edition", partitions=spark.sparkContext.defaultParallelism * 4), a.index, targets=spark.read.text(a.targets).select(F.trim("value").alias("isbn")))
     elif a.command == "resolve":

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tomewright.functions.identity import sha256_text
+from tomewright.sources.schemas import RAW
 
 
 def content_hash(response) -> "F.Column":
@@ -13,9 +14,12 @@ def content_hash(response) -> "F.Column":
     return sha256_text(F.to_json(response))
 
 
-def read_raw(spark: SparkSession, path: str, verify: bool = True) -> DataFrame:
-    """All artifacts below a folder: path, provider, topic, retrieved_at, parameters and response; hashes are checked."""
-    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path)
+def read_raw(spark: SparkSession, path: str, verify: bool = True, lines: bool = False) -> DataFrame:
+    """All artifacts below a folder: path, provider, topic, retrieved_at, parameters and response; hashes are checked.
+
+    A file is one artifact, as responses are preserved; with lines, as `write_raw` leaves them, a line is one.
+    """
+    rows = spark.read.option("wholetext", not lines).option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt" if lines else "*.json").text(path)
     v = F.parse_json("value")
     field = lambda name, kind="string": F.try_variant_get(v, f"$.{name}", kind)
     out = rows.select(
@@ -35,20 +39,43 @@ def latest_artifacts(raw: DataFrame) -> DataFrame:
 
 
 def write_raw(rows: DataFrame, folder: str) -> None:
-    """Artifacts as JSON by provider and topic; an existing folder is never written to again."""
-    rows.write.mode("errorifexists").partitionBy("provider", "topic").json(folder)
+    """Artifacts as JSON lines below provider=.../topic=.../, each with its content hash; an existing folder is never written to again."""
+    own = rows.withColumn("content_hash", content_hash(F.col("response")))
+    line = F.to_json(F.struct(*[c for c in RAW.names if c in own.columns]))
+    files = own.select(line.alias("value"), F.col("provider"), F.col("topic")).repartition("provider", "topic")
+    files.write.mode("errorifexists").partitionBy("provider", "topic").format("text").save(folder)
+
+
+#: Files up to this size are hashed by the executors, each as one value; larger ones as a stream.
+HASHED_BYTES = 256 << 20
 
 
 def verify_files(spark: SparkSession, path: str, sha1: str | None = None, size: int | None = None) -> DataFrame:
-    """(path, length, sha1, ok) of dump files."""
-    rows = spark.read.format("binaryFile").load(path)
-    digest = F.sha1("content") if sha1 else F.lit(None).cast("string")
+    """(path, length, sha1, ok) of dump files. Without a digest to compare only their lengths are looked at.
+
+    A digest can't be split, so that a file too large for one value is read as a stream, in constant memory. An empty
+    file gives no row.
+    """
+    found = spark.read.format("binaryFile").load(path)
+    rows = found.select("path", "length", F.lit(None).cast("string").alias("sha1"))
+    if sha1:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        small = found.where(F.col("length") <= HASHED_BYTES).select("path", "length", F.sha1("content").alias("sha1"))
+        hashed = []
+        for r in found.where(F.col("length") > HASHED_BYTES).select("path", "length").toLocalIterator():
+            at = jvm.org.apache.hadoop.fs.Path(r.path)
+            stream = at.getFileSystem(conf).open(at)
+            try:
+                hashed.append((r.path, r.length, jvm.org.apache.commons.codec.digest.DigestUtils.sha1Hex(stream)))
+            finally:
+                stream.close()
+        rows = small.unionByName(spark.createDataFrame(hashed, "path string, length long, sha1 string"))
     ok = F.lit(True)
     if sha1:
-        ok = ok & (digest == sha1.lower())
+        ok = ok & (F.col("sha1") == sha1.lower())
     if size is not None:
         ok = ok & (F.col("length") == size)
-    return rows.select("path", "length", digest.alias("sha1"), ok.alias("ok"))
+    return rows.select("path", "length", "sha1", ok.alias("ok"))
 
 
 def plan_matches(fetched: "F.Column", planned: "F.Column") -> "F.Column":
