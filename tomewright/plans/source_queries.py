@@ -16,6 +16,7 @@ from tomewright.plans.catalog_queries import ISBN_SQL, TOC_SQL, dataset, dump_li
 from tomewright.plans.queries import query, table
 from tomewright.sources import canonical, dump, raw
 from tomewright.sources.canonical import Dataset
+from tomewright.sources.page_outlines import FOOTER, outline_of, toc_rows
 from tomewright.sources.work import shared_dir, step_table
 from tomewright.streaming.latest import keep_latest
 
@@ -152,6 +153,46 @@ def contents_outlines(spark, sf_dir):
     return out.select("toc_entry_id", "book_id", F.col("order_index").cast("int").alias("order_index"), F.col("level").cast("int").alias("level"), "label", "title")
 
 
+#: A page body by format: what stands around the chapters, a chapter (its number and title to be filled in), and what joins them.
+CATALOG = '<div class="summary"><h2>Table of Contents</h2><div class="content">{}</div></div>'
+INDENTED = '<tr><td><table><tr><td width="20"></td><td>{t}</td></tr></table></td></tr>'
+BODIES = {
+    "heading_sequence": (CATALOG.format("<h3>Part One: {b}</h3>{c}"), "<h3>{i} {t}</h3>"),
+    "paragraph_sequence": (CATALOG.format("<p>Part 1. {b}</p>{c}"), "<p>Chapter {i}. {t}</p>"),
+    "bold_chapter_paragraphs": (CATALOG.format("{c}"), "<p><b>{i} {t} 9</b></p><p>{i}.1 Start 9</p>"),
+    "flat_bold": (CATALOG.format("{c}"), "<b>{i}. {t}</b><br>"),
+    "flat_table": (CATALOG.format(f"<table>{{c}}<tr><td>{FOOTER}</td></tr></table>"), "<tr><td>{t}</td></tr>"),
+    "flat_periods": (CATALOG.format("{c}"), "{t}. "),
+    "indented_table": (CATALOG.format(f"<table><tr><td>{{b}}</td></tr>{{c}}<tr><td>{FOOTER}</td></tr></table>"), INDENTED),
+    "springer_book_chapters": ('<section data-title="Table of contents"><ul>{c}</ul></section>', '<li data-test="chapter"><h3 class="app-card-open__heading" data-test=""><a href="/chapter/10.1/x_{i}">{t}</a></h3><span data-test="page-number">Pages 1-9</span></li>'),
+    "think_os_html": ('<div id="content"><ul><li><a>Preface</a><li><a>Contents</a>{c}</ul></div>', "<li><a>{t}</a><ul><li><a>Start</a></ul>"),
+    "pretext_html": ('<nav id="ptx-toc"><ul>{c}</ul></nav>', '<li class="toc-chapter"><div class="toc-title-box"><a><span class="codenumber">{i}</span><span class="title">{t}</span></a></div>'),
+    "chapter_headings": ("{c}", '<div class="chapterTitle"><h3>Chapter {i}: {t}</h3></div>'),
+}
+
+
+@query("""WITH p AS (SELECT p_partkey, p_brand AS brand, p_type, p_partkey % 11 AS k, p_size % 3 + 3 AS n FROM part WHERE p_size % 7 > 0),
+    c AS (SELECT p_partkey, k, i, 'On ' || p_type || ' ' || chr(96 + i::INT) AS t FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM p)),
+    e AS (SELECT p_partkey, 1 AS level, CASE k WHEN 0 THEN 'Part One' WHEN 1 THEN 'Part 1' END AS label, brand AS title, 0 AS place, CASE k WHEN 0 THEN ['0', 'Part One', brand] WHEN 1 THEN ['0', 'Part 1', brand] ELSE ['0', '0', brand] END AS key, NULL AS up, brand FROM p WHERE k IN (0, 1, 6)
+      UNION ALL SELECT c.p_partkey, 2, CASE WHEN c.k < 6 THEN i::VARCHAR END, t, i, CASE WHEN c.k < 6 THEN [i::VARCHAR, i::VARCHAR, t] ELSE [i::VARCHAR, '20', t] END, CASE c.k WHEN 0 THEN ['0', 'Part One', brand] WHEN 1 THEN ['0', 'Part 1', brand] ELSE ['0', '0', brand] END, NULL FROM c JOIN p USING (p_partkey) WHERE c.k IN (0, 1, 6)
+      UNION ALL SELECT p_partkey, 1, CASE WHEN k NOT IN (4, 5, 8) THEN i::VARCHAR END, t, CASE k WHEN 2 THEN 2 * i - 2 ELSE i - 1 END,
+        CASE WHEN k = 2 THEN [(2 * i - 2)::VARCHAR, i::VARCHAR, t] WHEN k = 3 THEN [(i - 1)::VARCHAR, i || '. ' || t] WHEN k IN (7, 10) THEN [(i - 1)::VARCHAR, i::VARCHAR, t] ELSE [(i - 1)::VARCHAR, t] END, NULL, NULL FROM c WHERE k NOT IN (0, 1, 6)
+      UNION ALL SELECT p_partkey, 2, i || '.1', 'Start', 2 * i - 1, [(2 * i - 1)::VARCHAR, i || '.1', 'Start'], [(2 * i - 2)::VARCHAR, i::VARCHAR, t], NULL FROM c WHERE k = 2
+      UNION ALL SELECT p_partkey, 2, NULL, 'Start', 0, [(i - 1)::VARCHAR, '0', 'Start'], [(i - 1)::VARCHAR, t], NULL FROM c WHERE k = 8)
+  SELECT 'b' || p_partkey AS book_id, level::INT AS level, label, title, place::INT AS order_index, 'toc_' || substr(sha256(concat_ws(chr(31), 'b' || p_partkey, 's', array_to_string(key, chr(31)))), 1, 20) AS toc_entry_id,
+    CASE WHEN up IS NOT NULL THEN 'toc_' || substr(sha256(concat_ws(chr(31), 'b' || p_partkey, 's', array_to_string(up, chr(31)))), 1, 20) END AS parent_entry_id FROM e""")
+def page_outlines(spark, sf_dir):
+    """Reviewed pages in eleven formats as outlines with their parents and ids; a page that isn't in its format gives none."""
+    kinds = F.array(*[F.lit(k) for k in BODIES])
+    rows = table(spark, sf_dir, "part").withColumn("kind", F.element_at(kinds, (F.col("p_partkey") % len(BODIES) + 1).cast("int")))
+    body, one = (F.element_at(F.create_map(*[x for k, v in BODIES.items() for x in (F.lit(k), F.lit(v[j]))]), F.col("kind")) for j in (0, 1))
+    title = lambda i: F.concat(F.lit("On "), F.col("p_type"), F.lit(" "), F.chr(i + 96))
+    chapters = F.transform(F.expr("sequence(1, p_size % 3 + 3)"), lambda i: F.replace(F.replace(one, F.lit("{i}"), i.cast("string")), F.lit("{t}"), title(i)))
+    page = F.when(F.col("p_size") % 7 > 0, F.replace(F.replace(body, F.lit("{b}"), F.col("p_brand")), F.lit("{c}"), F.array_join(chapters, ""))).otherwise("<p>moved</p>")
+    read = rows.select(F.concat(F.lit("b"), F.col("p_partkey").cast("string")).alias("book"), F.lit("s").alias("source"), outline_of(page, F.col("kind"), source_edition_id=F.lit("10.1/x")).alias("o"))
+    return toc_rows(read.select("book", "source", F.col("o.entries").alias("entries")), "book", "source", "entries").select("book_id", "level", "label", "title", "order_index", "toc_entry_id", "parent_entry_id")
+
+
 @query("""WITH c AS (SELECT c_custkey, c_nationkey % 5 + 1 AS n, c_mktsegment FROM customer WHERE c_custkey % 2 = 0)
   SELECT 'b' || c_custkey AS book_id, 'no_outline' AS reason, NULL AS chapter, NULL AS title FROM c WHERE n < 3
   UNION ALL SELECT 'b' || c_custkey, NULL, unnest(range(1, n + 1))::VARCHAR, 'On ' || c_mktsegment FROM c WHERE n >= 3""")
