@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tomewright.functions import identity as I
 from tomewright.functions import text as X
-from tomewright.operators.outlines import outline_entries, parse_outline
-from tomewright.plans import api_toc, english, evidence
+from tomewright.operators.outlines import outline_entries, parse_outline, placed_entries, store_outline
+from tomewright.plans import api_toc, english, evidence, providers
 from tomewright.plans.catalog_queries import ISBN_SQL, TOC_SQL, dataset, dump_lines, parts
 from tomewright.plans.queries import query, table
 from tomewright.sources import canonical, dump, raw
@@ -193,6 +193,52 @@ def page_outlines(spark, sf_dir):
     return toc_rows(read.select("book", "source", F.col("o.entries").alias("entries")), "book", "source", "entries").select("book_id", "level", "label", "title", "order_index", "toc_entry_id", "parent_entry_id")
 
 
+@query("""WITH p AS (SELECT p_partkey, p_brand, p_type, p_size % 4 + 1 AS n FROM part), c AS (SELECT *, unnest(range(1, n + 1)) AS i, 4 * i - 3 AS at_ FROM p),
+    e AS (SELECT p_partkey, 0 AS pos, 1 AS level, '1' AS label, p_brand AS title, NULL AS up, NULL AS up_title FROM p
+      UNION ALL SELECT p_partkey, at_, 2, NULL, 'Chapter ' || i || ' On ' || p_type, 0, p_brand FROM c
+      UNION ALL SELECT p_partkey, at_ + 1, 3, i || '.1', 'Start', at_, 'Chapter ' || i || ' On ' || p_type FROM c
+      UNION ALL SELECT p_partkey, at_ + 2, 4, NULL, 'Deep', at_ + 1, 'Start' FROM c
+      UNION ALL SELECT p_partkey, at_ + 3, 1, NULL, 'Loose', NULL, NULL FROM c
+      UNION ALL SELECT p_partkey, 4 * n + 1, 1, NULL, 'Index', NULL, NULL FROM p)
+  SELECT 'toc_' || substr(sha256(concat_ws(chr(31), 'b' || p_partkey, 's', pos, title)), 1, 20) AS toc_entry_id, CASE WHEN up IS NOT NULL THEN 'toc_' || substr(sha256(concat_ws(chr(31), 'b' || p_partkey, 's', up, up_title)), 1, 20) END AS parent_entry_id,
+    'b' || p_partkey AS book_id, pos::INT AS order_index, level::INT AS level, label, title FROM e""")
+def store_outlines(spark, sf_dir):
+    """A bookstore's contents: parts hold chapters, chapters their numbers, a marked line hangs below the one before, a loose one is a root that closes nothing."""
+    chapters = F.transform(F.expr("sequence(1, p_size % 4 + 1)"), lambda i: F.concat(F.lit("Chapter "), i.cast("string"), F.lit(" On "), F.col("p_type"), F.lit("\n"), i.cast("string"), F.lit(".1 Start<br/>__Deep\nLoose\n")))
+    blob = F.concat(F.lit("Part 1. "), F.col("p_brand"), F.lit("<br>"), F.array_join(chapters, ""), F.lit("Index"))
+    rows = table(spark, sf_dir, "part").select(F.concat(F.lit("b"), F.col("p_partkey").cast("string")).alias("book"), F.lit("s").alias("source"), store_outline(blob).alias("entries"))
+    out = placed_entries(rows, "book", "source", "entries")
+    return out.select("toc_entry_id", "parent_entry_id", "book_id", F.col("order_index").cast("int").alias("order_index"), F.col("level").cast("int").alias("level"), "label", "title")
+
+
+# --- lookups ---------------------------------------------------------------------------------------------------------
+
+
+@query("""WITH c AS (SELECT 'b' || c_custkey AS book_id, c_mktsegment AS g, c_nationkey % 4 AS k FROM customer WHERE c_custkey % 2 = 0)
+  SELECT book_id, 'no_outline' AS reason, NULL AS level, NULL AS label, NULL AS title FROM c WHERE k < 2
+  UNION ALL SELECT book_id, NULL, x.level::INT, x.label, x.title || CASE WHEN x.label = '2' THEN g ELSE '' END FROM c, (SELECT unnest([{'level': 1, 'label': '1', 'title': 'One'}, {'level': 2, 'label': '1.1', 'title': 'Two'}, {'level': 1, 'label': '2', 'title': 'On '}, {'level': 2, 'label': NULL, 'title': 'More'}]) AS x) WHERE k >= 2""")
+def store_lookups(spark, sf_dir):
+    """Contents looked up by ISBN: none for the answers that say so, or for fewer than three entries."""
+    books, kind = dataset(spark, sf_dir).books.where("isbn_13 IS NOT NULL"), (F.col("published_year") - 1990) % 4
+    found = F.concat(F.lit('{"success": true, "data": {"data": {"itemId": 7, "contents": "'), F.when(kind == 1, "1. One<br/>2. Two").otherwise(F.concat(F.lit("1. One<br/>1.1 Two</p>2 On "), F.upper(F.element_at("topics", -1)), F.lit("<br>More"))), F.lit('"}}}'))
+    body = F.when(kind == 0, '{"success": false, "errorCode": "GOODS_001"}').otherwise(found)
+    rows = books.select("book_id", F.lit("2026-01-02 03:04:05").cast("timestamp").alias("retrieved_at"), F.parse_json(body).alias("response"))
+    got = api_toc.store_contents(rows, books)
+    return got.responses.join(got.data.toc.select("book_id", F.col("level").cast("int").alias("level"), "label", "title"), "book_id", "left").select("book_id", "reason", "level", "label", "title")
+
+
+@query("""SELECT 'b' || c_custkey AS book_id, '10' || lpad(c_custkey::VARCHAR, 7, '0') AS external_id, 'rights codes: ' || CASE WHEN c_nationkey % 2 = 0 THEN 'ic, pd' ELSE 'ic' END AS rights_note, 'https://catalog.hathitrust.org/Record/10' || lpad(c_custkey::VARCHAR, 7, '0') AS url FROM customer WHERE c_custkey % 3 > 0""")
+def record_lookups(spark, sf_dir):
+    """Library records of a book: the smallest record id, its rights codes in order; no record, no source."""
+    c = table(spark, sf_dir, "customer")
+    number = F.lpad(F.col("c_custkey").cast("string"), 7, "0")
+    records = F.when(F.col("c_custkey") % 3 > 0, F.concat(F.lit('"20'), number, F.lit('": {}, "10'), number, F.lit('": {}'))).otherwise("")
+    rights = F.when(F.col("c_nationkey") % 2 == 0, "pd").otherwise("ic")
+    body = F.concat(F.lit('{"isbn:1": {"records": {'), records, F.lit('}, "items": [{"rightsCode": "'), rights, F.lit('"}, {"rightsCode": "ic"}, {"rightsCode": "'), rights, F.lit('"}]}}'))
+    rows = c.select(F.concat(F.lit("b"), F.col("c_custkey").cast("string")).alias("book_id"), F.lit("2026-01-02 03:04:05").cast("timestamp").alias("retrieved_at"), F.parse_json(body).alias("response"))
+    return providers.hathitrust(rows).select("book_id", "external_id", "rights_note", "url")
+
+
 @query("""WITH c AS (SELECT c_custkey, c_nationkey % 5 + 1 AS n, c_mktsegment FROM customer WHERE c_custkey % 2 = 0)
   SELECT 'b' || c_custkey AS book_id, 'no_outline' AS reason, NULL AS chapter, NULL AS title FROM c WHERE n < 3
   UNION ALL SELECT 'b' || c_custkey, NULL, unnest(range(1, n + 1))::VARCHAR, 'On ' || c_mktsegment FROM c WHERE n >= 3""")
