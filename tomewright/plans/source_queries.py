@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tomewright.functions import identity as I
 from tomewright.functions import text as X
 from tomewright.operators.outlines import outline_entries, parse_outline, placed_entries, store_outline
-from tomewright.plans import api_toc, english, evidence, providers
+from tomewright.plans import api_toc, english, evidence, pages, providers
 from tomewright.plans.catalog_queries import ISBN_SQL, TOC_SQL, dataset, dump_lines, parts
 from tomewright.plans.queries import query, table
 from tomewright.sources import canonical, dump, raw
@@ -211,6 +211,64 @@ def store_outlines(spark, sf_dir):
     return out.select("toc_entry_id", "parent_entry_id", "book_id", F.col("order_index").cast("int").alias("order_index"), F.col("level").cast("int").alias("level"), "label", "title")
 
 
+# --- reviewed pages --------------------------------------------------------------------------------------------------
+
+
+def specs(rows: DataFrame, **given) -> DataFrame:
+    """A spec for each part; fields that aren't given are null."""
+    number = F.col("p_partkey").cast("string")
+    known = {"slug": F.concat(F.lit("s"), number), "provider": F.lit("shop"), "topic": F.lit("tools"), "book_id": F.concat(F.lit("b"), number), "title": F.col("p_name"), "url": F.lit("u"), "home_url": F.lit("h"), "toc_url": F.lit("c"), **given}
+    return rows.select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in pages.SPEC.fields])
+
+
+def fetched(rows: DataFrame, urls: dict[str, str], **texts) -> DataFrame:
+    """A page for each part; by p_size % 9 it has an unknown slug, another topic, another url, or no text."""
+    k = F.col("p_size") % 9
+    slug = F.concat(F.when(k == 0, "x").otherwise("s"), F.col("p_partkey").cast("string"))
+    moved = [F.when(k == 2, "elsewhere").otherwise(u).alias(n) for n, u in urls.items()]
+    return rows.select(slug.alias("source_slug"), F.when(k == 1, "other").otherwise("tools").alias("topic"), F.lit("2026-09-01").alias("retrieved_at"), *moved, *[F.when(k != 3, t).alias(n) for n, t in texts.items()])
+
+
+FAULT_SQL = "CASE WHEN p_size % 9 = 0 THEN 'x' ELSE 's' END || p_partkey AS source_slug, CASE p_size % 9 WHEN 0 THEN 'unknown_source' WHEN 1 THEN 'topic' WHEN 2 THEN 'url' WHEN 3 THEN 'no_page'"
+
+
+@query(f"""SELECT 'catalog' AS kind, {FAULT_SQL} WHEN 4 THEN 'identity' WHEN 5 THEN 'outline_format' WHEN 6 THEN 'entry_count' WHEN 7 THEN 'no_summary' END AS reason, CASE WHEN p_size % 9 IN (0, 3, 5) THEN 0 ELSE 2 END AS entries FROM part
+  UNION ALL SELECT 'publisher', {FAULT_SQL} WHEN 4 THEN 'identity' WHEN 5 THEN 'edition' WHEN 6 THEN 'outline_format' WHEN 7 THEN 'chapter_labels' END, CASE WHEN p_size % 9 IN (3, 6) THEN 0 ELSE 2 END FROM part
+  UNION ALL SELECT 'landing', {FAULT_SQL} WHEN 4 THEN 'isbn' WHEN 5 THEN 'title' WHEN 6 THEN 'edition' WHEN 7 THEN 'outline_format' END, CASE WHEN p_size % 9 IN (3, 7) THEN 0 ELSE 1 END FROM part
+  UNION ALL SELECT 'textbook', {FAULT_SQL} WHEN 4 THEN 'identity' WHEN 5 THEN 'outline_format' WHEN 6 THEN 'entry_count' END, CASE WHEN p_size % 9 IN (0, 3, 5) THEN 0 ELSE 1 END FROM part""")
+def page_reviews(spark, sf_dir):
+    """Why each reviewed page was taken or not: catalog, publisher and landing pages, and open textbooks, each with every fault."""
+    rows, k, name = table(spark, sf_dir, "part"), F.col("p_size") % 9, F.col("p_name")
+    text = lambda *xs: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in xs])
+    when = lambda n, fault, good: F.when(k == n, fault).otherwise(good)
+    catalog = text("<h1 class='title'>", name, "</h1><span itemprop='isbn'>", when(4, "2", "1"), "</span><span itemprop='bookEdition'>2nd</span><div class='summary'><h2>Summary</h2><div class='content'>", when(7, "", "About it"), "</div><h2>Table of Contents</h2><div class='content'>", when(5, "<h3>1 A</h3>", "<h3>Part One: P</h3><h3>1 A</h3>"), "</div></div>")
+    got = pages.catalog_pages(fetched(rows, {"url": "u"}, html=catalog), specs(rows, isbn_13=F.lit("1"), edition=F.lit(2), toc_format=F.lit("heading_sequence"), expected_toc_count=when(6, 9, 2)))
+    home = text("<p>", when(4, "Another", name), ", ", when(5, "6th", "7th"), " edition 123</p>")
+    chapters = when(6, "<p>moved</p>", "<div class='chapterTitle'><h3>Chapter 1: One</h3><h3>Chapter 2: Two</h3></div>")
+    labels = F.when(k == 7, F.array(F.lit("1"))).otherwise(F.array(F.lit("1"), F.lit("2")))
+    publisher = pages.publisher_pages(fetched(rows, {"home_url": "h", "toc_url": "c"}, home_html=home, toc_html=chapters), specs(rows, isbn_10=F.lit("123"), edition=F.lit(7), expected_toc_labels=labels))
+    book = text('<script type="application/ld+json">{"@type": "Book", "isbn": "', when(4, "9", "1-2"), '", "name": "', when(5, "Another", name), '", "bookEdition": ', when(6, "2", "3"), "}</script>", when(7, "", '<div data-title="book-toc"><div data-test="chapter"><h3>A</h3></div></div>'))
+    landing = pages.landing_pages(fetched(rows, {"url": "u"}, html=book), specs(rows, isbn_13=F.lit("9"), doi=F.lit("d"), ebook_isbn=F.lit("12"), springer_edition_label=F.lit("3rd edition"), edition_relation=F.lit("same_work"), expected_entry_titles=F.array(F.lit("A"))))
+    lists = text("<p>", when(4, "Another", name), " by Ann, 2015</p><div id='content'><ul>", when(5, "", "<li><a>Preface</a><li><a>Contents</a>"), "<li><a>A</a></ul></div>")
+    textbook = pages.textbook_pages(fetched(rows, {"home_url": "h"}, home_html=lists), specs(rows, authors=F.array(F.lit("Ann")), published_year=F.lit(2015), source_format=F.lit("think_os_html"), expected_toc_count=when(6, 9, 1)), {"tools": ["tools"]})
+    out = [x.pages.select(F.lit(n).alias("kind"), "source_slug", "reason", F.col("entries").cast("int").alias("entries")) for n, x in (("catalog", got), ("publisher", publisher), ("landing", landing), ("textbook", textbook))]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
+@query("""SELECT 'b' || c_custkey AS book_id, CASE c_nationkey % 6 WHEN 0 THEN 'url' WHEN 1 THEN 'ambiguous_page' WHEN 2 THEN 'isbn' WHEN 3 THEN 'title' ELSE CASE WHEN c_custkey % 3 = 0 THEN 'language' WHEN c_nationkey % 6 = 4 THEN 'no_attribution' END END AS reason,
+    CASE WHEN c_nationkey % 6 = 5 AND c_custkey % 3 > 0 THEN length(c_mktsegment) + 141 END AS characters FROM customer WHERE c_custkey % 2 = 0""")
+def preface_reviews(spark, sf_dir):
+    """Product pages whose text is said to be from the preface: why each was taken or not, and how long its excerpt is."""
+    d, k = dataset(spark, sf_dir).books.where("isbn_13 IS NOT NULL"), (F.col("published_year") - 1990) % 6
+    key = F.regexp_extract("book_id", "([0-9]+)", 1).cast("int")
+    books = step_table(d.withColumn("language", F.when(key % 3 == 0, "en").otherwise("ko")))
+    box = "<div id='sit_introduce_explan'><p hidden>x</p>"
+    body = F.concat(F.lit("<h2 id='sit_title'>[ "), F.when(k == 3, "Another").otherwise(F.col("title")), F.lit(" ]</h2><table class='sit_ov_tbl'><tr><th>ISBN</th><td>"), F.when(k == 2, "9").otherwise(F.col("isbn_13")), F.lit(f"</td></tr></table>{box}"), F.upper(F.element_at("topics", -1)), F.lit(" " + "가" * 130), F.when(k == 4, "").otherwise(" - 머리말 중에서"), F.lit("</div>"), F.when(k == 1, f"{box}</div>").otherwise(""))
+    url = F.when(k == 0, "http://else").otherwise("https://www.kyungmoon.com/shop/item.php?it_id=5")
+    got = pages.preface_excerpts(books.select("book_id", F.lit("2026-09-01").alias("retrieved_at"), url.alias("url"), body.alias("html")), books)
+    return got.pages.select("book_id", "reason").join(got.data.documents.select("book_id", F.length("text").alias("characters")), "book_id", "left")
+
+
 # --- lookups ---------------------------------------------------------------------------------------------------------
 
 
