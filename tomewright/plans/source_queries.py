@@ -115,7 +115,7 @@ def stream_latest_rows(spark, sf_dir):
 # --- fields of records -----------------------------------------------------------------------------------------------
 
 
-@query("""SELECT p_partkey, ['Writer ' || p_size, 'Kim ' || (p_size % 7)] AS authors, CASE WHEN p_size % 2 = 0 THEN p_name || ' — ' || p_type ELSE p_name END AS title, CASE p_size % 3 WHEN 0 THEN [p_brand] WHEN 1 THEN [p_brand, p_type] ELSE [] END AS subjects,
+@query("""SELECT p_partkey, 'Writer ' || p_size || '|Kim ' || (p_size % 7) AS authors, CASE WHEN p_size % 2 = 0 THEN p_name || ' — ' || p_type ELSE p_name END AS title, CASE p_size % 3 WHEN 0 THEN p_brand WHEN 1 THEN p_brand || '|' || p_type ELSE '' END AS subjects,
     lpad(p_partkey::VARCHAR, 9, '0') || 'X' AS digits FROM part""")
 def record_fields(spark, sf_dir):
     """Bylines split to names, titles joined with subtitles, scalars or lists as lists, and ISBN digits."""
@@ -124,7 +124,7 @@ def record_fields(spark, sf_dir):
     items = F.when(F.col("p_size") % 3 == 1, F.array(F.concat(F.lit(" "), "p_brand"), F.lit("  "), F.col("p_type")))
     number = F.lpad(F.col("p_partkey").cast("string"), 9, "0")
     return table(spark, sf_dir, "part").select(
-        "p_partkey", X.by_statement_authors(byline).alias("authors"), X.joined_title(F.col("p_name"), F.when(F.col("p_size") % 2 == 0, F.col("p_type")).otherwise("")).alias("title"), X.scalar_or_list(F.when(F.col("p_size") % 3 == 0, F.col("p_brand")), items).alias("subjects"),
+        "p_partkey", F.array_join(X.by_statement_authors(byline), "|").alias("authors"), X.joined_title(F.col("p_name"), F.when(F.col("p_size") % 2 == 0, F.col("p_type")).otherwise("")).alias("title"), F.array_join(X.scalar_or_list(F.when(F.col("p_size") % 3 == 0, F.col("p_brand")), items), "|").alias("subjects"),
         I.isbn_digits(F.concat_ws("-", F.substring(number, 1, 4), F.substring(number, 5, 5), F.lit("x"))).alias("digits"),
     )
 
