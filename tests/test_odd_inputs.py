@@ -40,3 +40,21 @@ def test_open_headings_take_one_pass():
 
     assert list(page_headings("<h1>" * 200_000)) == list(page_headings("<h1" * 200_000)) == []
     assert heading_text("<" * 200_000) == "<" * 200_000
+
+
+def test_editions_of_one_work_are_counted_without_pairs(spark):
+    """As pairs these would be 900 million rows."""
+    from pyspark.sql import functions as F
+
+    from tomewright.sources import dump
+
+    n = 30_000
+    toc = F.transform(F.sequence(F.lit(1), F.when(F.col("id") % 3 == 0, 3).otherwise(1)), lambda i: F.struct(F.lit(0).alias("level"), F.concat(F.lit("C"), i.cast("string")).alias("title")))
+    rows = spark.range(n + 1).withColumn("edition_key", F.col("id").cast("string"))
+    none = F.array().cast("array<string>")
+    full = rows.select("edition_key", F.when(F.col("id") < n, "w").alias("work_key"), F.lit("t").alias("title"), F.lit(None).cast("string").alias("subtitle"), none.alias("source_records"), toc.alias("toc"))
+    isbns = rows.select((F.col("id") - F.when(F.col("id") % 5 == 0, F.least("id", F.lit(1))).otherwise(0)).alias("isbn"), "edition_key").unionByName(rows.where("id = 7").select(F.lit(n).cast("long").alias("isbn"), "edition_key"))
+    got = dump.inspect_tables(full, isbns, isbns.select("isbn"))
+    one = {r.isbn: tuple(r)[1:] for r in got.where("isbn IN (1, 4, 30000)").collect()}
+    assert one == {1: (1, 0, n - 1, n // 3), 4: (2, 0, n - 2, n // 3), n: (1, 0, n - 1, n // 3)}
+    assert got.where("isbn NOT IN (4, 30000)").agg(F.sum("alternates"), F.count("*")).first()[1] > n * 3 // 4

@@ -151,13 +151,16 @@ def resolve_tables(full: DataFrame, by_isbn: DataFrame, targets: DataFrame) -> D
 def inspect_tables(full: DataFrame, by_isbn: DataFrame, targets: DataFrame) -> DataFrame:
     """For each target that has an edition: exact editions and alternates of the target edition's work, all and with a usable outline.
 
-    Supplements count for nothing. An alternate is an edition of the same work that doesn't have the ISBN itself.
+    Supplements count for nothing. An alternate is an edition of the same work that doesn't have the ISBN itself: all of
+    the work less the ISBN's own, so that no pairs of editions are made.
     """
     extra = is_supplement(X.bibliographic_key(F.concat_ws(" ", "title", "subtitle", F.array_join("source_records", " "))), SUPPLEMENTS)
     full = full.where(~extra).select("edition_key", "work_key", usable(F.col("toc")).alias("usable"))
     own = targets.select("isbn").distinct().join(by_isbn, "isbn").select("isbn", "edition_key").distinct().join(full, "edition_key")
-    exact = own.groupBy("isbn").agg(F.count("*").alias("exact_editions"), F.count_if("usable").alias("exact_with_outline"), F.min_by("work_key", "edition_key").alias("work_key"))
-    works = exact.select("isbn", "work_key").join(full, "work_key").join(own.select("isbn", "edition_key"), ["isbn", "edition_key"], "left_anti")
-    other = works.groupBy("isbn").agg(F.count("*").alias("alternates"), F.count_if("usable").alias("alternates_with_outline"))
-    none = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    return exact.join(other, "isbn", "left").select("isbn", "exact_editions", "exact_with_outline", none("alternates"), none("alternates_with_outline"))
+    count = lambda n, with_n: (F.count("*").alias(n), F.count_if("usable").alias(with_n))
+    held = own.groupBy("isbn", "work_key").agg(*count("n", "with"), F.min("edition_key").alias("first"))  # by work, as an ISBN may stand in several
+    exact = held.groupBy("isbn").agg(F.sum("n").alias("exact_editions"), F.sum("with").alias("exact_with_outline"), F.min_by(F.struct("work_key", "n", "with"), "first").alias("target"))
+    exact = exact.select("isbn", "exact_editions", "exact_with_outline", F.col("target.work_key").alias("work_key"), F.col("target.n").alias("n"), F.col("target.with").alias("with"))
+    works = full.where("work_key IS NOT NULL").groupBy("work_key").agg(*count("all", "all_with"))
+    rest = lambda of, own, name: F.coalesce(F.col(of) - F.col(own), F.lit(0)).alias(name)
+    return exact.join(works, "work_key", "left").select("isbn", "exact_editions", "exact_with_outline", rest("all", "n", "alternates"), rest("all_with", "with", "alternates_with_outline"))
