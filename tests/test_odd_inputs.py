@@ -76,3 +76,26 @@ def test_items_do_not_carry_their_response(spark):
     got = {r.pos: r.reason for r in found.select("pos", "reason").collect()}
     assert len(got) == 302 and got[300] == got[301] == "no_english_edition"
     assert all(got[i] == ("conflicting_subject" if i < 200 and i % 2 else None) for i in range(300))
+
+
+@pytest.mark.parametrize("clamp", [True, False])
+def test_outlines_are_placed_without_joins(spark, clamp):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from tomewright.operators.outlines import outline_entries
+    from tomewright.operators.tree import levels_to_parents
+
+    rng = random.Random(5)
+    rows = [(f"b{b}", "s" if b else None, [(p, rng.randint(b % 3, 4), rng.choice([None, " ", f"{p}"]), rng.choice([f" T{p}", "", "T"])) for p in rng.sample(range(90), 30)]) for b in range(12)]
+    df = spark.createDataFrame(rows, "book string, source string, entries array<struct<pos:int,level:int,label:string,title:string>>")
+    out = outline_entries(df, "book", "source", "entries", clamp)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    kept = df.select("book", F.explode("entries").alias("e")).select("book", "e.pos", "e.level", F.trim("e.title").alias("title")).where("title <> ''")
+    placed = {(r.book, r.pos): r for r in levels_to_parents(kept, "book", "pos", "level", clamp).collect()}
+    titles = {(r.book, r.pos): r.title for r in kept.collect()}
+    got = out.collect()
+    name = {r.toc_entry_id: r.title for r in got}
+    of = lambda book, title, level, up, nth: (book, title, level, up, nth)
+    assert sorted(map(str, (of(r.book_id, r.title, r.level, name.get(r.parent_entry_id), r.order_index) for r in got))) == sorted(map(str, (of(b, titles[b, p], r.level, titles.get((b, r.parent)), r.order_index) for (b, p), r in placed.items())))

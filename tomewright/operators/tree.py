@@ -2,13 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tomewright.sources.work import step_table
 
 
+def fold_levels(rows: Column, kind: str, clamp: bool = False) -> Column:
+    """Rows (structs of type `kind` with a level, in order) as (row, level from 1, parent: a row, nth among siblings).
+
+    Parents are those of levels_to_parents. `open` has the latest row of each level and its place among its siblings.
+    """
+    base = F.array_min(F.transform(rows, lambda x: x["level"]))
+    placed, opened = f"struct<row:{kind},level:int,parent:{kind},nth:int>", f"struct<row:{kind},nth:int>"
+    first = F.struct(base.alias("base"), F.array().cast(f"array<{opened}>").alias("open"), F.lit(0).alias("last"), F.array().cast(f"array<{placed}>").alias("out"))
+
+    def step(acc, x):
+        own = x["level"] - acc["base"] + 1
+        own = F.least(own, acc["last"] + 1) if clamp else own
+        nth = F.coalesce(F.try_element_at(acc["open"], own)["nth"] + 1, F.lit(0))
+        parent = F.when(own > 1, F.try_element_at(acc["open"], own - 1)["row"])
+        row = F.struct(x.alias("row"), own.alias("level"), parent.alias("parent"), nth.alias("nth"))
+        above = F.slice(acc["open"], 1, F.greatest(own - 1, F.lit(0)))
+        moved = F.struct(acc["base"].alias("base"), F.array_append(above, F.struct(x.alias("row"), nth.alias("nth"))).alias("open"), own.alias("last"), F.array_append(acc["out"], row).alias("out"))
+        return F.when(F.size(acc["open"]) >= own - 1, moved).otherwise(acc)
+
+    return F.aggregate(rows, first, step)["out"]
+
+
 def levels_to_parents(df: DataFrame, group: str, order: str, level: str, clamp: bool = False) -> DataFrame:
     """group, order, level (from 1), parent (an order value) and order_index among siblings.
 
