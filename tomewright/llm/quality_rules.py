@@ -13,15 +13,15 @@ text are read, so other columns may have any name.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tomewright.llm.common import FIT_ROWS, labelled
+from tomewright.llm.common import work_table
 
 SYMBOLS, SPACES = b"#*$%&|<>", b" \t\n\x0b\x0c\r"
 UPPER, CONTINUATION = bytes(range(65, 91)), bytes(range(128, 192))
@@ -147,22 +147,96 @@ def with_stats(documents: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> Dat
     return own.mapInArrow(run, f"{kinds}, {LONGS}")
 
 
-def fit_rules(documents: DataFrame, labels: DataFrame, label: str = "quality", limit: int = FIT_ROWS, good_lost: float = 0.005) -> RuleModel:
-    """The forest and its threshold from at most `limit` labelled rows (1: good)."""
-    own = labelled(documents, labels, label, limit, learn_all=True)
-    rows = with_stats(own, ("doc_id", "label")).toPandas().sort_values(["doc_id", *STATS], ignore_index=True)
-    x, good = features(rows[list(STATS)].to_numpy()), rows.label.to_numpy() > 0
-    seen = np.array([zlib.crc32(str(i).encode()) % 2 == 0 for i in rows.doc_id], bool) & good
-    if seen.sum() < 2 or good.all():
+#: Trees of the forest, and splits on the way to their deepest nodes.
+TREES, DEEPEST = 200, 8
+
+
+def _by_batch(rows: DataFrame, run, kind: str) -> DataFrame:
+    """run(statistics) of each batch of rows with STATS, as columns of `kind`."""
+    names = [x.split()[0] for x in kind.split(", ")]
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                cols = run(np.column_stack([c.to_numpy() for c in b.columns]))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
+
+    return rows.select(*STATS).mapInArrow(each, kind)
+
+
+def grow_over(rows: DataFrame, n: int, seed: int = 7) -> IsolationForest:
+    """A forest whose trees are all grown from all n rows (with STATS), one pass a level.
+
+    Node k has the children 2k + 1 and 2k + 2. A pass counts each node's rows and finds the range of its feature; the
+    driver gets these figures only, whose number doesn't depend on the rows.
+    """
+    rng, size = np.random.default_rng(seed), 2 ** (DEEPEST + 1) - 1
+    chosen, share = rng.integers(features(np.zeros((1, len(STATS)))).shape[1], size=(TREES, size)), rng.uniform(size=(TREES, size))
+    feature, depth = np.full((TREES, size), -1), np.zeros((TREES, size))
+    low, split, high = (np.zeros((TREES, size)) for _ in range(3))
+    for d in range(DEEPEST + 1):
+        first, width = 2**d - 1, 2**d
+        model = rows.sparkSession.sparkContext.broadcast((feature, split, chosen))
+
+        def run(stats: np.ndarray, d=d, first=first, width=width, model=model):
+            own, cut, chosen = model.value
+            x, at_row, found = features(stats), np.arange(len(stats)), []
+            for t in range(TREES):
+                at = np.zeros(len(x), int)
+                for _ in range(d):
+                    f = own[t, at]
+                    at = np.where(f >= 0, 2 * at + 1 + (x[at_row, np.maximum(f, 0)] > cut[t, at]), at)
+                here = np.flatnonzero(at >= first)
+                v, node = x[here, chosen[t, at[here]]], at[here] - first
+                least, most = np.full(width, np.inf), np.full(width, -np.inf)
+                np.minimum.at(least, node, v)
+                np.maximum.at(most, node, v)
+                count = np.bincount(node, minlength=width)
+                has = np.flatnonzero(count)
+                found.append((np.full(len(has), t), has + first, count[has], least[has], most[has]))
+            return [np.concatenate(c) for c in zip(*found, strict=True)]
+
+        parts = _by_batch(rows, run, "tree long, node long, n long, least double, most double")
+        got = parts.groupBy("tree", "node").agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most")).toPandas()
+        model.unpersist()
+        count = np.zeros((TREES, size), int)
+        t, k = got.tree.to_numpy(), got.node.to_numpy()
+        count[t, k], low[t, k], high[t, k] = got.n, got.least, got.most
+        level = slice(first, first + width)
+        inner = (count[:, level] >= 2) & (d < DEEPEST)
+        feature[:, level] = np.where(inner, chosen[:, level], -1)
+        split[:, level] = low[:, level] + share[:, level] * (high[:, level] - low[:, level])
+        depth[:, level] = d + np.where(inner, 1.0, [[IsolationForest.mean_path(c) for c in r] for r in count[:, level]])
+    left = 2 * np.arange(size) + 1
+    return IsolationForest([(feature[t], low[t], split[t], high[t], left, depth[t]) for t in range(TREES)], IsolationForest.mean_path(n) or 1.0)
+
+
+def fit_rules(documents: DataFrame, labels: DataFrame, label: str = "quality", good_lost: float = 0.005, stats: DataFrame | None = None) -> RuleModel:
+    """The forest and its threshold from all labelled rows (1: good): it is grown on half of the good ones, by their ids.
+
+    stats: with_stats(documents), where it is at hand. Of several labels of an id the largest holds; rows with a null id
+    or label are left out.
+    """
+    own = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("doc_id is not null and label is not null")
+    own = own.groupBy("doc_id").agg(F.max("label").alias("label"))
+    seen = (F.col("label") > 0) & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0)
+    rows = work_table((with_stats(documents) if stats is None else stats).join(own, "doc_id").withColumn("seen", seen), "labelled")
+    n = rows.agg(F.count_if("seen").alias("seen"), F.count_if(F.expr("label > 0 and not seen")).alias("good"), F.count_if(F.expr("label <= 0")).alias("low")).first()
+    if n.seen < 2 or not n.low:
         return RuleModel(None, float("inf"))
-    forest = IsolationForest.grow(x[seen])
-    return RuleModel(forest, calibrate(forest.score(x[~seen]), good[~seen], good_lost))
+    forest = grow_over(rows.where("seen"), n.seen)
+    if not n.good:
+        return RuleModel(forest, float("inf"))
+    spread = documents.sparkSession.sparkContext.broadcast(forest)
+    scores = _by_batch(rows.where("label > 0 and not seen"), lambda s: [spread.value.score(features(s))], "score double")
+    above = n.good - min(n.good - 1, int(np.ceil(n.good * (1 - good_lost))))
+    return RuleModel(forest, scores.orderBy(F.desc("score")).limit(above).agg(F.min("score")).first()[0])
 
 
-def apply_rules(documents: DataFrame, model: RuleModel, min_words: int = 50, max_repeat_pct: int = 50) -> DataFrame:
-    """doc_id, the base statistics, base_failed, kept and anomaly of every row."""
+def apply_rules(documents: DataFrame, model: RuleModel, min_words: int = 50, max_repeat_pct: int = 50, stats: DataFrame | None = None) -> DataFrame:
+    """doc_id, the base statistics, base_failed, kept and anomaly of every row. stats: with_stats(documents), where it is at hand."""
     spread = documents.sparkSession.sparkContext.broadcast(model)  # a few thousand numbers, whatever the input
-    stats = with_stats(documents)
+    stats = with_stats(documents) if stats is None else stats
     kind = stats.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

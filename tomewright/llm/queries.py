@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomewright.llm.common import table
+from tomewright.llm.common import table, work_table
 from tomewright.llm.cotrain import fit_quality, score_quality
 from tomewright.llm.decontaminate import leaks
 from tomewright.llm.langid import fit_languages, identify
 from tomewright.llm.mixing import sampled
 from tomewright.llm.pii import find_pii
-from tomewright.llm.quality_rules import apply_rules, fit_rules
+from tomewright.llm.quality_rules import apply_rules, fit_rules, with_stats
 from tomewright.llm.repeats import cut_repeats, digest_of
 from tomewright.llm.simhash import hex_fingerprint, near_duplicates
 from tomewright.llm.toxicity import fit_toxicity, score_toxicity
@@ -35,7 +35,8 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return apply_rules(docs, fit_rules(docs, table(spark, sf_dir, "labels")))
+    stats = work_table(with_stats(docs), "stats")
+    return apply_rules(docs, fit_rules(docs, table(spark, sf_dir, "labels"), stats=stats), stats=stats)
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
